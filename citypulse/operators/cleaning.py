@@ -183,9 +183,10 @@ def cyclic_encode(df: DataFrame, periods: dict | None = None) -> DataFrame:
     return df.withColumns(out)
 
 
-def build_incident_features(clean: DataFrame, approx_median: bool = False) -> DataFrame:
-    """21 projected columns + imputations + 6 cyclic encodings (27 columns)."""
-    feats = clean.select(*C.INCIDENT_FEATURE_COLUMNS)
+def build_incident_features(clean: DataFrame, approx_median: bool = False, keep=()) -> DataFrame:
+    """21 projected columns + imputations + 6 cyclic encodings (27 columns);
+    ``keep`` carries extra columns through (e.g. a row key)."""
+    feats = clean.select(*keep, *C.INCIDENT_FEATURE_COLUMNS)
     feats = impute_median(feats, approx=approx_median)
     feats = clip_report_lag(feats)
     return cyclic_encode(feats)
