@@ -47,15 +47,20 @@ def report_lag_days_expr(reported, occurred) -> Column:
     return F.floor(secs / F.lit(86400)).cast("bigint")
 
 
+def _hour_labels() -> list[str]:
+    """Label of each hour 0..23 from the right-closed bins (-1,5] (5,11] ..."""
+    labels = []
+    for h in range(24):
+        labels.append(next(lab for upper, lab in C.PART_OF_DAY if h <= upper))
+    return labels
+
+
 def part_of_day_expr(hour) -> Column:
+    """Part-of-day label for an hour in 0..23 (null outside), as one lookup
+    into a 24-entry literal array: the hour expression is evaluated once."""
     h = col_or(hour)
-    expr = None
-    for upper, label in C.PART_OF_DAY:
-        cond = h <= F.lit(upper)
-        if upper == C.PART_OF_DAY[0][0]:
-            cond = (h > F.lit(-1)) & cond
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr
+    table = F.array(*[F.lit(x) for x in _hour_labels()])
+    return F.when(h.between(0, 23), F.element_at(table, h.cast("int") + 1))
 
 
 def clean_age_expr(age) -> Column:

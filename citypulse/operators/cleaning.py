@@ -217,8 +217,14 @@ def drop_missing_coords(df: DataFrame, violent_only: bool = False) -> DataFrame:
 
 
 def filter_domain_values(df: DataFrame) -> DataFrame:
-    """Distinct non-null area names with the table's date range on each row."""
-    areas = df.where(F.col("area_name").isNotNull()).select("area_name").distinct()
-    rng = df.agg(F.min("date_occurred").alias("date_min"),
-                 F.max("date_occurred").alias("date_max"))
-    return areas.crossJoin(F.broadcast(rng))
+    """Distinct non-null area names with the table's date range on each row.
+
+    One pass: per-area date ranges (null area kept as its own group) are
+    checkpointed; the overall range and the area list come from that table.
+    """
+    from citypulse.session import materialize
+    per_area = materialize(df.groupBy("area_name").agg(F.min("date_occurred").alias("lo"),
+                                                        F.max("date_occurred").alias("hi")))
+    rng = per_area.agg(F.min("lo").alias("date_min"), F.max("hi").alias("date_max"))
+    return (per_area.where(F.col("area_name").isNotNull()).select("area_name")
+            .crossJoin(F.broadcast(rng)))

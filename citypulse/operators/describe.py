@@ -86,15 +86,19 @@ def victim_age_histogram(df: DataFrame, bins: int = 40, lo: float = 5, hi: float
     """Equal-width histogram over the ages kept in [lo, hi].
 
     Bin edges span the observed min..max after the filter; the last bin is
-    closed; empty bins are present with count 0.
+    closed; empty bins are present with count 0. The incident table is read
+    once: counts per distinct value (a table bounded by the value range) are
+    checkpointed, and range and bins are computed from them.
     """
-    vals = df.where(F.col(col).isNotNull() & F.col(col).between(lo, hi)).select(
-        F.col(col).cast("double").alias("x"))
+    from citypulse.session import materialize
+    vals = materialize(
+        df.where(F.col(col).isNotNull() & F.col(col).between(lo, hi))
+        .groupBy(F.col(col).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("c")))
     rng = vals.agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
     width = (F.col("mx") - F.col("mn")) / F.lit(bins)
     raw_bin = F.floor((F.col("x") - F.col("mn")) * F.lit(bins) / F.nullif(F.col("mx") - F.col("mn"), F.lit(0.0)))
     b = F.least(F.lit(bins - 1), F.coalesce(raw_bin, F.lit(0))).cast("int")
-    counts = vals.crossJoin(F.broadcast(rng)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = vals.crossJoin(F.broadcast(rng)).groupBy(b.alias("bin")).agg(F.sum("c").alias("n"))
     spine = rng.where(F.col("mn").isNotNull()).select(
         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), "mn", "mx")
     return (spine.join(counts, "bin", "left")

@@ -47,13 +47,16 @@ def daily_area_panel(clean: DataFrame, dense: bool = True) -> DataFrame:
     """Per (date, area): crimes = count(dr_no), violent, arrests, two ratios.
 
     Groups with a null area key are dropped (as a pandas groupby does), but
-    still take part in the date range, all from one scan.
+    still take part in the date range. The incident table is read once: the
+    sparse (date, area) aggregate, bounded by days x areas, is checkpointed
+    and the date range, area list and densified grid are all derived from it.
     """
-    grouped = (clean
-               .groupBy(F.to_date("date_occurred").alias("date"), "area_id", "area_name")
-               .agg(F.count("dr_no").alias("crimes"),
-                    F.sum("is_violent").cast("bigint").alias("violent"),
-                    F.sum("is_arrest").cast("bigint").alias("arrests")))
+    from citypulse.session import materialize
+    grouped = materialize(
+        clean.groupBy(F.to_date("date_occurred").alias("date"), "area_id", "area_name")
+        .agg(F.count("dr_no").alias("crimes"),
+             F.sum("is_violent").cast("bigint").alias("violent"),
+             F.sum("is_arrest").cast("bigint").alias("arrests")))
     agg = (grouped.where(F.col("date").isNotNull() & F.col("area_id").isNotNull()
                          & F.col("area_name").isNotNull())
            .withColumns({"violent_ratio": safe_ratio("violent", "crimes"),
@@ -109,12 +112,13 @@ def resample_two_series(df: DataFrame, freq: str = "ME", ts: str = "date_occurre
     Inside each series' own [first, last] label range gaps are 0; outside the
     flagged series' range its value is null (full-outer alignment).
     """
+    from citypulse.session import materialize
     label = period_label(ts, freq)
-    agg = (df.where(F.col(ts).isNotNull())
-           .groupBy(label.alias("date"))
-           .agg(F.count("dr_no").alias("n_all"),
-                F.count(F.when(F.col(flag) == 1, F.col("dr_no"))).alias("n_flag"),
-                F.count_if(F.col(flag) == 1).alias("rows_flag")))
+    agg = materialize(df.where(F.col(ts).isNotNull())
+                      .groupBy(label.alias("date"))
+                      .agg(F.count("dr_no").alias("n_all"),
+                           F.count(F.when(F.col(flag) == 1, F.col("dr_no"))).alias("n_flag"),
+                           F.count_if(F.col(flag) == 1).alias("rows_flag")))
     bounds = agg.agg(F.min("date").alias("lo"), F.max("date").alias("hi"),
                      F.min(F.when(F.col("rows_flag") > 0, F.col("date"))).alias("flo"),
                      F.max(F.when(F.col("rows_flag") > 0, F.col("date"))).alias("fhi"))
@@ -132,9 +136,10 @@ def resample_two_series(df: DataFrame, freq: str = "ME", ts: str = "date_occurre
 def resample_counts(df: DataFrame, freq: str = "ME", ts: str = "date_occurred",
                     count_col: str = "dr_no") -> DataFrame:
     """Row count per period label, gaps zero-filled between first and last label."""
-    agg = (df.where(F.col(ts).isNotNull())
-           .groupBy(period_label(ts, freq).alias("date"))
-           .agg(F.count(count_col).alias("n")))
+    from citypulse.session import materialize
+    agg = materialize(df.where(F.col(ts).isNotNull())
+                      .groupBy(period_label(ts, freq).alias("date"))
+                      .agg(F.count(count_col).alias("n")))
     bounds = agg.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     spine = _label_spine(bounds, freq)
     return (spine.join(agg, "date", "left")

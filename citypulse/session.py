@@ -52,3 +52,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/citypulse-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Reliable checkpoint of a small derived table (an aggregate reused by
+    several branches of a plan), so the large input behind it is read once.
+    Written to the shared checkpoint folder; survives executor loss."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

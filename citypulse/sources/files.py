@@ -52,6 +52,19 @@ def read_through_parquet(spark: SparkSession, csv_path: str, cache_path: str,
     return spark.read.parquet(cache_path)
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan over at least ``min_partitions`` tasks (default: the
+    cluster's default parallelism).
+
+    A file with a single row group is one input split, so a CPU-heavy plan
+    over it (parsing, joins with broadcast dimensions) would run in one task.
+    Large inputs already have many splits and pass through untouched; the
+    check reads only the planned partition count (no job).
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def scan_parquet(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Parquet scan; a missing path is an explicit error."""
     try:

@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A fact table spread over at least the default parallelism."""
+    from citypulse.sources.files import ensure_parallelism
+    return ensure_parallelism(table(spark, sf_dir, name))
+
+
 def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture A in raw form (28 raw columns, dates as month/day/year text).
 
@@ -23,7 +29,7 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     definition) is broadcast explicitly; the other joins are left to the
     planner's size-checked strategy choice and AQE.
     """
-    li = table(spark, sf_dir, "lineitem")
+    li = fact_table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     s = table(spark, sf_dir, "supplier")
     n = table(spark, sf_dir, "nation")
@@ -93,7 +99,7 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixture D: ``events`` with real times of day as incidents."""
-    ev = table(spark, sf_dir, "events")
+    ev = fact_table(spark, sf_dir, "events")
     ts = F.col("ts")
     return ev.select(
         F.col("event_id").cast("bigint").alias("dr_no"),
