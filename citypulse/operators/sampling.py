@@ -18,16 +18,53 @@ def hash_key(key_cols, seed: int = C.SEED):
     return F.xxhash64(F.lit(int(seed)), *cols)
 
 
+def first_k_by_hash(df: DataFrame, k_of_n, group=(), key_cols="dr_no", seed: int = C.SEED,
+                    flag: str = "__selected", levels: int = 20) -> DataFrame:
+    """Flag, per group, the first ``k`` rows in (seeded hash, key) order.
+
+    ``k_of_n`` maps the group's row count (a Column) to k. The k-th row is
+    found without sorting a group in one task: rows are bucketed by the top
+    ``levels`` bits of their hash, bucket counts (a table bounded by
+    2^levels per group) are prefix-summed to find the boundary bucket, and
+    only rows of the boundary bucket are ranked with a window. Rows before the
+    boundary are selected outright, rows after it are not.
+    """
+    keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    group = list(group)
+    h = hash_key(keys, seed)
+    d = df.withColumns({"__h": h, "__b": F.shiftright(h, 64 - levels)})
+    if not group:
+        d = d.withColumn("__g", F.lit(0))
+        group = ["__g"]
+    counts = d.groupBy(*group, "__b").agg(F.count(F.lit(1)).alias("__c"))
+    n_group = counts.groupBy(*group).agg(F.sum("__c").alias("__n"))
+    wcum = Window.partitionBy(*group).orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (counts.join(F.broadcast(n_group), group)
+           .withColumns({"__hi": F.sum("__c").over(wcum), "__k": k_of_n(F.col("__n")).cast("bigint")}))
+    cum = cum.withColumn("__lo", F.col("__hi") - F.col("__c"))
+    boundary = cum.where((F.col("__lo") < F.col("__k")) & (F.col("__hi") >= F.col("__k"))).select(
+        *group, F.col("__b").alias("__bb"), (F.col("__k") - F.col("__lo")).alias("__need"))
+    j = d.join(F.broadcast(boundary), group, "left")
+    at = F.col("__bb").isNotNull() & (F.col("__b") == F.col("__bb"))
+    decided = j.where(~at).withColumn(flag, F.col("__bb").isNotNull() & (F.col("__b") < F.col("__bb")))
+    edge = j.where(at)
+    wedge = Window.partitionBy(*group).orderBy("__h", *keys)
+    edge = edge.withColumn(flag, F.row_number().over(wedge) <= F.col("__need"))
+    out = decided.unionByName(edge).drop("__h", "__b", "__bb", "__need")
+    return out.drop("__g") if "__g" not in df.columns else out
+
+
 def exact_sample(df: DataFrame, n: int | None, key_cols="dr_no", seed: int = C.SEED) -> DataFrame:
-    """Exactly ``n`` rows (all rows if fewer), chosen by seeded hash order.
+    """Exactly ``n`` rows (all rows if fewer), the first n in seeded hash order.
 
-    The LIMIT is the feature here (a sampling operator): Spark plans it as a
-    per-partition top-n then a merge of n-row lists. ``n=None`` keeps all rows.
+    Selection is a hash threshold found with bucket counts (see
+    :func:`first_k_by_hash`), so no task ever merges n rows per partition.
+    ``n=None`` keeps all rows.
     """
     if n is None:
         return df
-    keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    return df.orderBy(hash_key(keys, seed), *keys).limit(int(n))
+    flagged = first_k_by_hash(df, lambda cnt: F.least(cnt, F.lit(int(n))), (), key_cols, seed)
+    return flagged.where(F.col("__selected")).drop("__selected")
 
 
 def stratified_split(df: DataFrame, label: str, train_frac: float = 0.8, key_cols="dr_no",
@@ -35,38 +72,12 @@ def stratified_split(df: DataFrame, label: str, train_frac: float = 0.8, key_col
     """Exact per-class train/test split by seeded hash order.
 
     Within each class the first ``round(train_frac * n_class)`` rows in
-    (hash, key) order go to train. The k-th row of a class is found without
-    sorting a whole class in one task: rows are bucketed by the top
-    ``levels`` bits of their hash, bucket counts (a bounded table) are
-    prefix-summed to find the boundary bucket, and only the boundary bucket
-    is ranked with a window.
+    (hash, key) order go to train (see :func:`first_k_by_hash`).
     """
-    keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    h = hash_key(keys, seed)
-    shift = 64 - levels
-    d = df.withColumns({"__h": h, "__b": F.shiftright(h, shift)})
-    counts = d.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__c"))
-    n_class = counts.groupBy(label).agg(F.sum("__c").alias("__n"))
-    wcum = Window.partitionBy(label).orderBy("__b")
-    cum = (counts.join(F.broadcast(n_class), label)
-           .withColumns({"__hi": F.sum("__c").over(wcum.rowsBetween(Window.unboundedPreceding, 0)),
-                         "__k": F.round(F.col("__n") * F.lit(train_frac)).cast("bigint")}))
-    cum = cum.withColumn("__lo", F.col("__hi") - F.col("__c"))
-    boundary = cum.where((F.col("__lo") < F.col("__k")) & (F.col("__hi") >= F.col("__k"))).select(
-        label, F.col("__b").alias("__bb"), (F.col("__k") - F.col("__lo")).alias("__need"))
-    has_k = cum.groupBy(label).agg(F.max("__k").alias("__kk"))
-    j = (d.join(F.broadcast(has_k), label, "left")
-         .join(F.broadcast(boundary), label, "left"))
-    before = F.col("__bb").isNotNull() & (F.col("__b") < F.col("__bb"))
-    at = F.col("__bb").isNotNull() & (F.col("__b") == F.col("__bb"))
-    decided = j.where(~at | F.col("__bb").isNull()).withColumn(
-        split_col, F.when(before, F.lit("train")).otherwise(F.lit("test")))
-    edge = j.where(at)
-    wedge = Window.partitionBy(label).orderBy("__h", *keys)
-    edge = edge.withColumn(split_col, F.when(F.row_number().over(wedge) <= F.col("__need"),
-                                             F.lit("train")).otherwise(F.lit("test")))
-    drop = ["__h", "__b", "__kk", "__bb", "__need"]
-    return decided.unionByName(edge).drop(*drop)
+    flagged = first_k_by_hash(df, lambda cnt: F.round(cnt * F.lit(train_frac)), (label,), key_cols,
+                              seed, "__train", levels)
+    return (flagged.withColumn(split_col, F.when(F.col("__train"), F.lit("train")).otherwise(F.lit("test")))
+            .drop("__train"))
 
 
 def forward_chained_split(p: DataFrame, test_days: int = 60, val_days: int = 60,

@@ -121,7 +121,7 @@ def q_drop_undated(spark, sf):
 @register("clean_incidents", _sql(
     "SELECT * REPLACE (round(lat, 6) AS lat, round(lon, 6) AS lon) FROM clean"))
 def q_clean_incidents(spark, sf):
-    return rounded(common.clean(spark, sf))
+    return rounded(common.clean_fresh(spark, sf))
 
 
 FEATURES_SQL = """

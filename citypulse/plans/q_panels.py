@@ -19,7 +19,7 @@ def _sql(body, extra=()):
 
 @register("daily_area_panel", _sql(f"SELECT {PANEL_COLS} FROM daily", [DAILY]))
 def q_daily_area_panel(spark, sf):
-    return rounded(common.daily(spark, sf))
+    return rounded(common.daily_fresh(spark, sf))
 
 
 # densify on a sparse input: the thinned fixture leaves many (date, area) cells empty.

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The re-implemented system is a batch pipeline with no stream, watermark,
+session or state operator; its only late-data behaviour is the batch
+incomplete-tail trim (:func:`citypulse.operators.panels.trim_incomplete_tail`).
+No streaming operator is provided, because none exists to match.
+"""
