@@ -37,10 +37,15 @@ def raw(spark: SparkSession, sf: str) -> DataFrame:
     return fixtures.raw_incidents(spark, sf)
 
 
-def renamed(spark: SparkSession, sf: str) -> DataFrame:
+def renamed_fresh(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.parse_timestamps(cleaning.rename_columns(raw(spark, sf)))
 
 
+def renamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Renamed + parsed raw table (input of the single-step cleaning queries)."""
+    return _artifact(spark, sf, "renamed", lambda: renamed_fresh(spark, sf))
+
+
 def clean_fresh(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_incidents(raw(spark, sf))
 

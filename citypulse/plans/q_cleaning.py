@@ -19,7 +19,7 @@ def _sql(body, ctes=None):
 @register("rename_columns", _sql(
     "SELECT * REPLACE (round(lat, 6) AS lat, round(lon, 6) AS lon) FROM renamed", R))
 def q_rename_columns(spark, sf):
-    return rounded(common.renamed(spark, sf))
+    return rounded(common.renamed_fresh(spark, sf))
 
 
 @register("parse_timestamps", _sql(
@@ -113,7 +113,7 @@ def q_flag_weapon_used(spark, sf):
     "SELECT count(*) AS kept_rows, count(DISTINCT dr_no) AS kept_ids FROM renamed "
     "WHERE date_occurred IS NOT NULL", R))
 def q_drop_undated(spark, sf):
-    kept = cleaning.drop_undated(common.renamed(spark, sf))
+    kept = cleaning.drop_undated(common.renamed_fresh(spark, sf))
     return kept.agg(F.count(F.lit(1)).alias("kept_rows"),
                     F.count_distinct("dr_no").alias("kept_ids"))
 
