@@ -35,7 +35,8 @@ def split_features(spark, sf):
 
 def _test_metrics(fitted, test, name):
     from citypulse.operators import evaluate
-    scored = fitted.transform(test).select(TARGET, "prob")
+    from citypulse.operators.spatial import _checkpoint
+    scored = _checkpoint(fitted.transform(test).select(TARGET, "prob"))
     bm = evaluate.binary_metrics(scored, TARGET, "prob")
     rm = evaluate.ranking_metrics(scored, TARGET, "prob")
     return rounded(bm.crossJoin(rm).select(F.lit(name).alias("model"), "accuracy", "f1_pos", "f1_macro",
