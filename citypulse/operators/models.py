@@ -109,19 +109,37 @@ class FittedClassifier:
         return out.withColumn("prob", vector_to_array("probability")[1])
 
 
-def _fit(name: str, train: DataFrame, target: str, levels: dict, **kw) -> FittedClassifier:
+ROWS_PER_PARTITION = 250_000
+
+
+def sized_for_training(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION):
+    """Persist a training frame and size its partitions by row count.
+
+    Iterative fitters run one job per iteration / tree level; with a few
+    thousand rows per task the per-task cost dominates, with too many rows a
+    task spills. The frame is cached, counted, and coalesced (no shuffle) to
+    about ``rows_per_partition`` rows per partition, never more partitions
+    than it had. Returns (frame, row count, cached parent to unpersist).
+    """
     from pyspark import StorageLevel
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    parts = max(1, min(cached.rdd.getNumPartitions(), -(-n // rows_per_partition)))
+    return cached.coalesce(parts), n, cached
+
+
+def _fit(name: str, train: DataFrame, target: str, levels: dict, **kw) -> FittedClassifier:
     cols = [*C.NUMERIC_FEATURES, *C.CATEGORICAL_FEATURES, target]
-    prepared = balanced_weights(bucket_rare(train.select(*cols), levels), target)
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    prepared, n, cached = sized_for_training(balanced_weights(bucket_rare(train.select(*cols), levels), target))
     try:
         if name == "logreg" and "reg_param" not in kw:
-            # liblinear C = 1 on a weighted sum equals regParam = 1 / sum(weights)
-            kw["reg_param"] = 1.0 / max(1.0, prepared.agg(F.sum("w")).first()[0])
+            # liblinear C = 1 on a weighted loss sum equals regParam = 1 / sum(weights);
+            # balanced weights sum to the row count
+            kw["reg_param"] = 1.0 / max(1, n)
         pipe = Pipeline(stages=feature_pipeline() + [classifier(name, target, **kw)])
         model = pipe.fit(prepared)
     finally:
-        prepared.unpersist()
+        cached.unpersist()
     return FittedClassifier(name, target, levels, model)
 
 
@@ -212,9 +230,13 @@ def _forecast_fit(p: DataFrame, feats, test_n: int, val_n: int, unit_days: int,
     codes = sampling.area_code_map(p)
     p = p.join(F.broadcast(codes), "area_id")
     p = sampling.forward_chained_split(p, test_n, val_n, unit_days=unit_days)
-    data = _assembled(p, feats).withColumn("__is_val", F.col("split") == "val").persist()
+    data = _assembled(p, feats).withColumn("__is_val", F.col("split") == "val")
     n_areas = codes.count()
-    model = _gbt_regressor(max_iter, max(32, n_areas + 1)).fit(data.where(F.col("split") != "test"))
+    fit_rows, _, cached = sized_for_training(data.where(F.col("split") != "test"))
+    try:
+        model = _gbt_regressor(max_iter, max(32, n_areas + 1)).fit(fit_rows)
+    finally:
+        cached.unpersist()
     test = model.transform(data.where(F.col("split") == "test"))
     preds = test.select("date", "area_id", "area_code", "area_name", F.col("crimes").alias("y_true"),
                         F.greatest(F.col("prediction"), F.lit(0.0)).alias("y_pred"),
