@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from citypulse.plans.catalog import ORACLES, QUERIES, load_all
 from conftest import SMOKE
 from oracle import compare, duck
 
-ORACLES = entry.oracle_sql()
-QUERIES = entry.queries()
+load_all()
 
 
 @pytest.fixture(scope="module")
