@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citypulse.llm import simhash
+from citypulse.llm import line_rules, simhash
 from citypulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,11 @@ def query(fn):
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3, max_bits=2)
+
+
+@query
+def op4_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.query(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op4_line_rules"] = line_rules.ORACLE_SQL
