@@ -211,47 +211,42 @@ def _spanning(i: np.ndarray, j: np.ndarray, n: int) -> tuple[np.ndarray, np.ndar
 
 
 def trie_links(fps: DataFrame, max_bits: int = 2, leaf_size: int = 1 << 15) -> DataFrame:
-    """(a, b): a spanning set of the links between the distinct fingerprints of ``fps`` (fp)."""
+    """(a, b): a spanning set of the links between the distinct fingerprints of ``fps`` (fp).
+
+    Each subtree of the cut is packed into one row (at most ``leaf_size`` longs), so
+    that a pair of subtrees is a row of two blocks rather than two sets of rows."""
     cut = trie_cut(fps, leaf_size)
-    pairs = near_prefixes(cut, max_bits)
-    starts = np.array([p << (BITS - d) for p, d in cut], dtype=np.uint64)
-    # for each subtree, the pairs it takes part in (side 0: first, 1: second, 2: both)
-    takes: list[list[tuple[int, int]]] = [[] for _ in cut]
-    for k, (i, j) in enumerate(pairs.tolist()):
-        if i == j:
-            takes[i].append((k, 2))
-        else:
-            takes[i].append((k, 0))
-            takes[j].append((k, 1))
-    shared = fps.sparkSession.sparkContext.broadcast((starts, takes))
+    spark = fps.sparkSession
+    shared = spark.sparkContext.broadcast(np.array([p << (BITS - d) for p, d in cut], dtype=np.uint64))
 
-    def deal(batches):
-        starts, takes = shared.value
+    def place(batches):
         for batch in batches:
-            fp = batch.column(0).to_numpy(zero_copy_only=False)
-            node = np.searchsorted(starts, fp.view(np.uint64), side="right") - 1
-            for n in np.unique(node).tolist():
-                own = fp[node == n]
-                for k, side in takes[n]:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(own), k)), pa.array(np.full(len(own), side, dtype=np.int32)),
-                         pa.array(own)], names=["pair", "side", "fp"])
-
-    def join(table: pa.Table) -> pa.Table:
-        side = table.column("side").to_numpy()
-        fp = table.column("fp").to_numpy().view(np.uint64)
-        if side[0] == 2:
-            a = b = both = np.sort(fp)
-            i, j = descend(a, b, True, max_bits)
+            fp = batch.column(0)
+            node = np.searchsorted(shared.value, fp.to_numpy(zero_copy_only=False).view(np.uint64), side="right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(node), fp], names=["node", "fp"])
+
+    def packed(group: pa.Table) -> pa.Table:
+        block = np.sort(group.column("fp").to_numpy().view(np.uint64))
+        return pa.table({"node": group.column("node")[:1], "block": pa.array([block.tobytes()], pa.binary())})
+
+    def join(group: pa.Table) -> pa.Table:
+        a = np.frombuffer(group.column("first")[0].as_py(), dtype=np.uint64)
+        if group.column("i")[0] == group.column("j")[0]:
+            both = a
+            i, j = descend(a, a, True, max_bits)
         else:
-            a, b = np.sort(fp[side == 0]), np.sort(fp[side == 1])
-            i, j = descend(a, b, False, max_bits) if len(a) and len(b) else (np.zeros(0, np.int64),) * 2
+            b = np.frombuffer(group.column("second")[0].as_py(), dtype=np.uint64)
+            i, j = descend(a, b, False, max_bits)
             both, j = np.concatenate((a, b)), j + len(a)
         x, y = _spanning(i, j, len(both))
         return pa.table({"a": pa.array(both[x].view(np.int64)), "b": pa.array(both[y].view(np.int64))})
 
-    return (fps.mapInArrow(deal, "pair long, side int, fp long")
-            .groupBy("pair").applyInArrow(join, "a long, b long"))
+    blocks = saved(fps.mapInArrow(place, "node long, fp long").groupBy("node")
+                   .applyInArrow(packed, "node long, block binary"), "simhash-blocks")
+    pairs = spark.createDataFrame(near_prefixes(cut, max_bits).tolist(), "i long, j long")
+    return (pairs.join(blocks.select(F.col("node").alias("i"), F.col("block").alias("first")), "i")
+            .join(blocks.select(F.col("node").alias("j"), F.col("block").alias("second")), "j")
+            .groupBy("i", "j").applyInArrow(join, "a long, b long"))
 
 
 def simhash_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
