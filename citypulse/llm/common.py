@@ -21,6 +21,10 @@ WORD_REGEX = r"[^\x20\x09-\x0D]+"
 SPACE_REGEX = r"[\x20\x09-\x0D]+"
 
 
+#: Drops a query's shuffle files as soon as its result is written.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -32,13 +36,20 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def saved(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: cuts
-    the lineage, survives lost executors and keeps column pruning and statistics."""
-    path = scratch(df.sparkSession, name)
+    the lineage, survives lost executors and keeps column pruning and statistics.
+    The shuffle files behind it go when it is written."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fold(id_col: str, modulus: int) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citypulse.llm import line_rules, lm_score, simhash
+from citypulse.llm import line_rules, lm_score, simhash, suffix_dedup
 from citypulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,8 @@ ORACLES["op4_line_rules"] = line_rules.ORACLE_SQL
 @query
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.lm_scores(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.query(table(spark, sf_dir, "documents"))
