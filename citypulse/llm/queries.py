@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citypulse.llm import line_rules, lm_score, simhash, suffix_dedup
+from citypulse.llm import decontam, line_rules, lm_score, simhash, suffix_dedup
 from citypulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,8 @@ def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.query(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
