@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citypulse.llm import decontam, line_rules, lm_score, rule_ensemble, simhash, suffix_dedup
+from citypulse.llm import decontam, language_crf, line_rules, lm_score, rule_ensemble, simhash, suffix_dedup
 from citypulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,8 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_ensemble.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_crf.query(table(spark, sf_dir, "documents"))
