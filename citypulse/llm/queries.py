@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citypulse.llm import decontam, language_crf, line_rules, lm_score, rule_ensemble, simhash, suffix_dedup
+from citypulse.llm import decontam, html_extract, language_crf, line_rules, lm_score, rule_ensemble, simhash, suffix_dedup
 from citypulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +18,11 @@ def query(fn):
     return fn
 
 
+@query
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.query(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=3, max_bits=2)
