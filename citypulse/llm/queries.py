@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citypulse.llm import decontam, html_extract, language_crf, line_rules, lm_score, rule_ensemble, simhash, suffix_dedup
+from citypulse.llm import decontam, html_extract, language_crf, line_rules, lm_score, mixing, rule_ensemble, simhash, suffix_dedup
 from citypulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,11 @@ def op8_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.query(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.query(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_mix_sources"] = mixing.ORACLE_SQL
