@@ -8,7 +8,7 @@ works on UTF-8 bytes; the JVM side uses :data:`WORD_REGEX`.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,11 +61,10 @@ def lower_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
-def lower_ascii(col: Column) -> Column:
-    """Lower-cases A-Z only, as the contracts ask (``lower`` would also fold other letters)."""
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def pieces(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches of some ``limit`` bytes (or one longer row):
+    bounds what a task holds as Python objects at a time."""
+    for batch in batches:
+        rows = max(1, int(batch.num_rows * limit / max(batch.nbytes, 1)))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citypulse.llm.common import saved
+from citypulse.llm.common import pieces, saved
 from citypulse.llm.suffix_array import common_prefixes, joined, suffix_array
 
 LENGTH = 200
@@ -138,7 +138,7 @@ def document_segments(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         h = xxhash.xxh3_64_intdigest
-        for batch in batches:
+        for batch in pieces(batches):
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             texts = _text_bytes(batch.column(1))
             of, start, n, anchor = segments(texts, length)
@@ -255,7 +255,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) -
     wanted = placed.groupBy("doc").agg(F.collect_list("seg").alias("segs"))
 
     def cut(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             texts = _text_bytes(batch.column(1))
             flat = [(d, s, t[s["start"]:s["start"] + s["n"] - 1 + length])
                     for d, t, segs in zip(batch.column(0).to_pylist(), texts, batch.column(2))
@@ -267,9 +267,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) -
                 + [pa.array([b for _, _, b in flat], pa.binary())],
                 names=["shard", "part", "doc", "start", "copies", "bytes"])
 
-    pieces = saved(docs.select("doc", "text").join(wanted, "doc").select("doc", "text", "segs").mapInArrow(
+    cuts = saved(docs.select("doc", "text").join(wanted, "doc").select("doc", "text", "segs").mapInArrow(
         cut, "shard long, part long, doc long, start long, copies long, bytes binary"), "suffix-pieces")
-    edges = saved(pieces.groupBy("shard", "part").applyInArrow(
+    edges = saved(cuts.groupBy("shard", "part").applyInArrow(
         _shard_repeats(length), "doc long, from long, to long, hash long"), "suffix-edges")
     return (ranges.union(edges.where("hash IS NULL").select("doc", "from", "to"))
             .union(merge_runs(edges.where("hash IS NOT NULL"))))
@@ -293,7 +293,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         spans, "doc", "left")
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             cols = [[], [], [], [], []]
             for text, found in zip(batch.column(1), batch.column(2)):
                 data = (text.as_py() or "").encode("utf-8", "replace")
