@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citypulse.llm import decontam, html_extract, language_crf, line_rules, lm_score, mixing, rule_ensemble, simhash, suffix_dedup
+from citypulse.llm import decontam, html_extract, language_crf, line_rules, lm_score, mixing, rule_ensemble, simhash, suffix_dedup, warc_fixity
 from citypulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,11 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_mix_sources"] = mixing.ORACLE_SQL
+
+
+@query
+def op9_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_fixity.query(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op9_warc_fixity"] = warc_fixity.ORACLE_SQL
