@@ -277,8 +277,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, shard: int = SHARD) -
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
                    shard: int = SHARD) -> DataFrame:
-    """Every row of ``df`` with n_bytes, n_removed, n_spans, kept (binary: the bytes
-    that stay) and kept_sha256; input columns of these names are replaced.
+    """Every row of ``df`` with n_bytes, n_removed, n_spans, kept_text (the bytes that
+    stay, without characters cut in two) and kept_sha256 (of all bytes that stay);
+    input columns of these names are replaced.
 
     A document's key is a hash of its id and text, so rows with one id and
     different texts stay apart."""
@@ -287,7 +288,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = df.select(key.alias("doc"), F.col(text_col).alias("text"))
     spans = repeated_ranges(docs, length, shard).groupBy("doc").agg(
         F.array_sort(F.collect_set(F.struct(F.col("from"), F.col("to")))).alias("spans"))
-    added = ["n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
+    added = ["n_bytes", "n_removed", "n_spans", "kept_text", "kept_sha256"]
     others = [c for c in df.columns if c not in added or c in (id_col, text_col)]
     rows = df.select(F.struct(*others).alias("row"), key.alias("doc"), F.col(text_col).alias("text")).join(
         spans, "doc", "left")
@@ -304,15 +305,15 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         kept.append(data[at:span["from"]])
                     at = max(at, span["to"])
                 kept = b"".join([*kept, data[at:]])
-                for c, v in zip(cols, (len(data), len(data) - len(kept), n, kept, hashlib.sha256(kept).hexdigest())):
+                for c, v in zip(cols, (len(data), len(data) - len(kept), n, kept.decode("utf-8", "ignore"), hashlib.sha256(kept).hexdigest())):
                     c.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(cols, kinds)]],
                                              names=["row", *added])
 
     row_type = rows.schema["row"].dataType.simpleString()
     return rows.select("row", "text", "spans").mapInArrow(
-        run, f"row {row_type}, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string"
+        run, f"row {row_type}, n_bytes long, n_removed long, n_spans long, kept_text string, kept_sha256 string"
     ).select("row.*", *added)
 
 
