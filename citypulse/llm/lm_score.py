@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from citypulse.llm import gru
 from citypulse.llm.common import fold, lower_words, saved
 
-#: Words whose counts every task holds in memory.
+#: Most words whose counts every task holds in memory.
 HEAD = 1 << 16
-#: Bound on the first training sample (tokens), and the updates made on it.
-WARM_TOKENS, WARM_WINDOWS = 400_000, 700
+#: The first training sample: expected number of texts, bound on its tokens, updates made on it.
+WARM_TEXTS, WARM_TOKENS, WARM_WINDOWS = 1000, 400_000, 700
 #: One in so many training texts takes part in the second training, in every task.
 REFINE = 48
 #: Distinct words that a counting task holds before it sends them on.
@@ -117,7 +117,17 @@ class Vocabulary:
 
 
 def vocabulary(train: DataFrame, counts: DataFrame) -> Vocabulary:
-    head = counts.orderBy(F.desc("n"), "word").limit(HEAD).collect()
+    """The head is cut at a count, found from the number of words in each 32nd of a doubling
+    of the count, so that no task sorts the words of all others."""
+    step = F.floor(F.log2("n") * 32)
+    sizes = sorted(((r["s"], r["n"]) for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()),
+                   reverse=True)
+    least, held = None, 0
+    for s, n in sizes:
+        if held + n > HEAD:
+            break
+        least, held = s, held + n
+    head = [] if least is None else sorted(counts.where(step >= least).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
     totals = counts.groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
     return Vocabulary([(bytes(r["word"]), r["shape"], r["n"]) for r in head],
                       {r["shape"]: (r["n"], r["v"]) for r in totals}, train.count(),
@@ -126,12 +136,13 @@ def vocabulary(train: DataFrame, counts: DataFrame) -> Vocabulary:
 
 def fitted(train: DataFrame, vocab: Vocabulary) -> gru.Params:
     """Model parameters: a bounded first sample, then shares of every task averaged.
-    The sample is the rows of smallest hash that together hold ``WARM_TOKENS`` tokens at most."""
+    The sample is drawn by a hash of the id and holds ``WARM_TOKENS`` tokens at most."""
     params = gru.initial(*vocab.start)
     spark = train.sparkSession
-    drawn = train.select("text", F.xxhash64("id", F.lit(11)).alias("h")).where(F.col("text").isNotNull())
+    rate = min(1.0, WARM_TEXTS / max(1, vocab.ends))
+    drawn = train.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) < int(rate * (1 << 30))))
     sample, size = [], 0
-    for row in drawn.orderBy("h").limit(2000).toLocalIterator():
+    for row in drawn.select("text").toLocalIterator():
         symbols, _, _ = vocab.encode(lower_words(row["text"]))
         if size + len(symbols) > WARM_TOKENS:
             continue
@@ -224,7 +235,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 [pa.array([xxhash.xxh3_64_intdigest(w.as_py()) - (1 << 63) for w in batch.column(0)], pa.int64()),
                  batch.column(1)], names=["w", "c"])
 
-    least = min((int(round(10 ** x - 0.1)) for x in vocab.log_count[-1:].tolist()), default=0)
+    least = min((int(round(10 ** x - 0.1)) for x in vocab.log_count[-1:].tolist()), default=1 << 62)
     table = counts.where(F.col("n") <= least).select("word", "n").mapInArrow(hashed, "w long, c long")
     found = (scored.select("row", F.inline("rarer")).join(table, "w", "left")
              .groupBy("row").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(0.1))).alias("log_rest"),
