@@ -205,5 +205,5 @@ def area_drilldown(daily: DataFrame, risk: DataFrame | None = None, recent_rows:
         F.avg("crimes").alias("mean_per_day"),
         F.avg(F.when(F.col("__rn") <= recent_rows, F.col("crimes"))).alias("recent_mean"))
     if risk is not None:
-        out = out.join(risk.select("area_name", "risk_tier"), "area_name", "left")
+        out = out.join(risk.select("area_id", "area_name", "risk_tier"), ["area_id", "area_name"], "left")
     return out

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 from citypulse import contract as C
 from citypulse.operators import evaluate, features, sampling
 from citypulse.operators.describe import area_profile
+from citypulse.session import scratch_path
 
-INFREQUENT = "infrequent"
+#: Level of rare values; starts with a control character, so no plain value equals it.
+INFREQUENT = "\u0001infrequent"
 
 
 # --- feature pipeline ---------------------------------------------------------
@@ -34,36 +36,36 @@ def category_levels(train: DataFrame, cats=C.CATEGORICAL_FEATURES, min_frequency
     Computed with one distributed aggregation; only the distinct category
     values (model metadata, like StringIndexer's labels) reach the driver.
     """
-    stacked = None
-    for c in cats:
-        part = train.select(F.lit(c).alias("col"), F.col(c).cast("string").alias("val"))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    counts = stacked.where(F.col("val").isNotNull()).groupBy("col", "val").count().collect()
+    pairs = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("val")) for c in cats])
+    counts = (train.select(F.inline(pairs)).where(F.col("val").isNotNull())
+              .groupBy("col", "val").count().collect())
     levels = {c: ([], []) for c in cats}
     for r in counts:
         (levels[r["col"]][0] if r["count"] >= min_frequency else levels[r["col"]][1]).append(r["val"])
     return levels
 
 
-def bucket_rare(df: DataFrame, levels: dict) -> DataFrame:
-    """Rare training values share one 'infrequent' level; unseen values stay
-    as they are (the indexer then maps them to an all-zero one-hot row)."""
-    out = {}
-    for c, (freq, rare) in levels.items():
-        v = F.col(c).cast("string")
-        expr = v
+def bucket_rare(levels: dict) -> SQLTransformer:
+    """A pipeline stage (saved and loaded with the model): rare training values
+    share one level of a reserved name; unseen values stay as they are (the
+    indexer then maps them to an all-zero one-hot row)."""
+    quoted = lambda v: "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    cols = []
+    for c, (_, rare) in levels.items():
+        value = f"CAST(`{c}` AS STRING)"
         if rare:
-            expr = F.when(v.isin(rare), F.lit(INFREQUENT)).otherwise(v)
-        out[f"{c}__b"] = expr
-    return df.withColumns(out)
+            value = f"CASE WHEN {value} IN ({', '.join(map(quoted, sorted(rare)))}) THEN {quoted(INFREQUENT)} ELSE {value} END"
+        cols.append(f"{value} AS `{c}__b`")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
 
 
-def feature_pipeline(numeric=C.NUMERIC_FEATURES, cats=C.CATEGORICAL_FEATURES) -> list:
-    """Stages: index + one-hot the bucketed categoricals (unknown -> zeros),
+def feature_pipeline(levels: dict, numeric=C.NUMERIC_FEATURES, cats=C.CATEGORICAL_FEATURES) -> list:
+    """Stages: bucket rare levels, index + one-hot the categoricals (unknown -> zeros),
     standardise the numerics, assemble ``features``."""
     idx = [f"{c}__i" for c in cats]
     ohe = [f"{c}__oh" for c in cats]
     return [
+        bucket_rare(levels),
         StringIndexer(inputCols=[f"{c}__b" for c in cats], outputCols=idx, handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True),
@@ -99,14 +101,18 @@ def classifier(name: str, label: str, **kw):
 
 @dataclass
 class FittedClassifier:
+    """A fitted pipeline; ``model`` alone is enough to score, also after saving and loading."""
+
     name: str
     target: str
-    levels: dict
     model: PipelineModel
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = self.model.transform(bucket_rare(df, self.levels))
-        return out.withColumn("prob", vector_to_array("probability")[1])
+        return with_prob(self.model.transform(df))
+
+
+def with_prob(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("prob", vector_to_array("probability")[1])
 
 
 ROWS_PER_PARTITION = 250_000
@@ -118,29 +124,33 @@ def sized_for_training(df: DataFrame, rows_per_partition: int = ROWS_PER_PARTITI
     Iterative fitters run one job per iteration / tree level; with a few
     thousand rows per task the per-task cost dominates, with too many rows a
     task spills. The frame is cached, counted, and coalesced (no shuffle) to
-    about ``rows_per_partition`` rows per partition, never more partitions
-    than it had. Returns (frame, row count, cached parent to unpersist).
+    about ``rows_per_partition`` rows per partition, but to no fewer partitions
+    than there are cores, so that a fit never runs in one task. Returns (frame,
+    row count, cached parent to unpersist).
     """
     from pyspark import StorageLevel
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = cached.count()
-    parts = max(1, min(cached.rdd.getNumPartitions(), -(-n // rows_per_partition)))
-    return cached.coalesce(parts), n, cached
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    have = cached.rdd.getNumPartitions()
+    if have < cores:
+        return cached.repartition(cores), n, cached
+    return cached.coalesce(max(cores, min(have, -(-n // rows_per_partition)))), n, cached
 
 
 def _fit(name: str, train: DataFrame, target: str, levels: dict, **kw) -> FittedClassifier:
     cols = [*C.NUMERIC_FEATURES, *C.CATEGORICAL_FEATURES, target]
-    prepared, n, cached = sized_for_training(balanced_weights(bucket_rare(train.select(*cols), levels), target))
+    prepared, n, cached = sized_for_training(balanced_weights(train.select(*cols), target))
     try:
         if name == "logreg" and "reg_param" not in kw:
             # liblinear C = 1 on a weighted loss sum equals regParam = 1 / sum(weights);
             # balanced weights sum to the row count
             kw["reg_param"] = 1.0 / max(1, n)
-        pipe = Pipeline(stages=feature_pipeline() + [classifier(name, target, **kw)])
+        pipe = Pipeline(stages=feature_pipeline(levels) + [classifier(name, target, **kw)])
         model = pipe.fit(prepared)
     finally:
         cached.unpersist()
-    return FittedClassifier(name, target, levels, model)
+    return FittedClassifier(name, target, model)
 
 
 def train_logreg(train: DataFrame, target: str, levels: dict | None = None, **kw) -> FittedClassifier:
@@ -157,33 +167,52 @@ def train_boosted_trees(train: DataFrame, target: str, levels: dict | None = Non
 
 def train_classifier(feats: DataFrame, target: str, models=("logreg", "gbt"), test_size: float = 0.2,
                      sample: int | None = 250_000, params: dict | None = None, key: str = "row_id"):
-    """Sample -> stratified split -> fit each model -> test metrics.
+    """Stratified split of all rows -> fit each model -> metrics over the whole test side.
 
-    Returns (metrics DataFrame with one row per model, {name: FittedClassifier}, test DataFrame).
+    ``sample`` bounds only the rows a model is *fitted* on (an exact seeded sample of
+    the train side; None: all of it). Features and split are written once to the
+    shared folder. Returns (metrics DataFrame with one row per model, with precision,
+    recall and support of both classes, {name: FittedClassifier}, test DataFrame).
     """
     params = params or {}
-    df = feats.where(F.col(target).isNotNull())
-    df = sampling.exact_sample(df, sample, key)
-    split = sampling.stratified_split(df, target, 1 - test_size, key).persist()
+    rows_in = stored(feats.where(F.col(target).isNotNull()), "features")
+    split = stored(sampling.stratified_split(rows_in, target, 1 - test_size, key), "split")
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
+    if sample is not None:
+        train = stored(sampling.exact_sample(train, sample, key), "train")
     levels = category_levels(train)
     fitted, rows = {}, []
     for name in models:
         fc = _fit(name, train, target, levels, **params.get(name, {}))
         fitted[name] = fc
-        scored = fc.transform(test).select(target, "prob").persist()
+        scored = stored(fc.transform(test).select(target, "prob"), "scored")
         bm = evaluate.binary_metrics(scored, target, "prob")
         rm = evaluate.ranking_metrics(scored, target, "prob")
         rows.append(bm.crossJoin(rm).select(F.lit(target).alias("target"), F.lit(name).alias("model"),
                                             "accuracy", "f1_pos", "f1_macro", "roc_auc", "pr_auc",
-                                            "tp", "fp", "tn", "fn"))
+                                            "tp", "fp", "tn", "fn", *per_class_report()))
     metrics = rows[0]
     for r in rows[1:]:
         metrics = metrics.unionByName(r)
     return metrics, fitted, test
 
 
+def per_class_report() -> list:
+    """Precision, recall and support of both classes from the confusion counts."""
+    share = lambda a, b: F.when(b > 0, a / b).otherwise(F.lit(0.0))
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    return [share(tp, tp + fp).alias("precision_1"), share(tp, tp + fn).alias("recall_1"), (tp + fn).alias("support_1"),
+            share(tn, tn + fn).alias("precision_0"), share(tn, tn + fp).alias("recall_0"), (tn + fp).alias("support_0")]
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: row-level tables that several jobs read."""
+    path = scratch_path(df.sparkSession, f"ml-{name}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 # --- area archetypes ----------------------------------------------------------
 
 def kmeans_area_archetypes(daily: DataFrame, k: int = 4, n_init: int = 10, seed: int = C.SEED) -> DataFrame:
@@ -274,9 +303,12 @@ def forecast_next_period(panel: DataFrame, model, codes: DataFrame, horizon_days
     for the next day's lags and rolling windows.
 
     Only the trailing ``history_days`` days per area are kept (the longest
-    window), so each step works on a bounded frame; every step's result is
-    checkpointed to the shared checkpoint folder to cut lineage.
+    window), so each step works on a bounded frame; an expanding feature would
+    need all history and is refused. Every step's result is checkpointed to the
+    shared checkpoint folder to cut lineage.
     """
+    if "adow_mean" in feats:
+        raise ValueError("adow_mean is a mean over all history; forecast_next_period keeps only the last days")
     from citypulse.operators.spatial import _checkpoint
     last = panel.agg(F.max("date").alias("__last"))
     hist = (panel.crossJoin(F.broadcast(last))
@@ -290,7 +322,8 @@ def forecast_next_period(panel: DataFrame, model, codes: DataFrame, horizon_days
         placeholder = areas.crossJoin(F.broadcast(target)).withColumn("crimes", F.lit(None).cast("double"))
         h = sampling.union_history(hist, placeholder)
         f = features.add_lag_features(h).join(target, "date", "left_semi")
-        f = f.join(F.broadcast(codes), "area_id")
+        # an area too short to train on still gets a forecast, under a code of no other area
+        f = f.join(F.broadcast(codes), "area_id", "left").withColumn("area_code", F.coalesce("area_code", F.lit(-1)))
         pred = model.transform(_assembled(f, feats)).select(
             "date", "area_id", "area_name", F.greatest(F.col("prediction"), F.lit(0.0)).alias("y_pred"))
         pred = _checkpoint(pred)

@@ -25,11 +25,10 @@ def incident_features(spark, sf):
 
 
 def split_features(spark, sf):
-    """Exact 80/20 stratified split, materialised once (checkpoint to the
-    shared folder) so model fitting does not re-run the upstream joins."""
-    from citypulse.operators.spatial import _checkpoint
-    f = _checkpoint(incident_features(spark, sf))
-    s = _checkpoint(sampling.stratified_split(f, TARGET, 0.8, "dr_no"))
+    """Exact 80/20 stratified split, written once to the shared folder so model
+    fitting does not re-run the upstream joins."""
+    f = models.stored(incident_features(spark, sf), "features")
+    s = models.stored(sampling.stratified_split(f, TARGET, 0.8, "dr_no"), "split")
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 
@@ -48,8 +47,7 @@ def q_feature_pipeline(spark, sf):
     from pyspark.ml import Pipeline
     f = incident_features(spark, sf)
     levels = models.category_levels(f)
-    b = models.bucket_rare(f, levels)
-    out = Pipeline(stages=models.feature_pipeline()).fit(b).transform(b)
+    out = Pipeline(stages=models.feature_pipeline(levels)).fit(f).transform(f)
     arr = vector_to_array("features")
     return rounded(out.select("dr_no", F.size(arr).alias("n_features"),
                               F.aggregate(arr, F.lit(0.0), lambda a, x: a + F.abs(x)).alias("l1")))
@@ -94,15 +92,14 @@ def q_feature_importances(spark, sf):
 def q_permutation_importance(spark, sf):
     train, test = split_features(spark, sf)
     fitted = models.train_logreg(train, TARGET)
-    return rounded(explain.permutation_importance(fitted, test, TARGET, "dr_no", n_repeats=5,
-                                                  sample=30_000, top=15))
+    return rounded(explain.permutation_importance(fitted, test, TARGET, "dr_no", n_repeats=5, top=15))
 
 
 @register("attribution_summary")
 def q_attribution_summary(spark, sf):
     train, test = split_features(spark, sf)
     fitted = models.train_boosted_trees(train, TARGET, max_iter=BOOST_ROUNDS)
-    return rounded(explain.attribution_summary(fitted, test, "dr_no", sample=3000, n_samples=8))
+    return rounded(explain.attribution_summary(fitted, test, "dr_no", n_samples=1))
 
 
 @register("kmeans_area_archetypes")

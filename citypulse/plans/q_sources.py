@@ -72,19 +72,15 @@ def q_metrics_json(spark, sf):
 
 @register("model_store")
 def q_model_store(spark, sf):
-    """Rows-only: fit a small pipeline, save it, load it back, score the panel."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-    from citypulse.operators import features
-    p = features.add_lag_features(common.daily(spark, sf)).dropna(subset=["lag_28", "roll_mean_28"])
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=["lag_1", "lag_7", "lag_28", "roll_mean_28"],
-                                            outputCol="features"),
-                            LinearRegression(labelCol="crimes", maxIter=20)])
-    model = pipe.fit(p)
+    """Fit a classifier, save it, load it by its path alone, score the feature rows with
+    both: every row, with the difference of the two scores (0)."""
+    from citypulse.operators import cleaning, models
+    feats = cleaning.build_incident_features(common.clean(spark, sf), keep=("dr_no",))
+    fitted = models.train_logreg(feats, "is_violent", max_iter=20)
     path = scratch_path(spark, "model")
-    files.save_model(model, path)
-    loaded = files.load_model(path)
-    return loaded.transform(p).select("date", "area_id", "crimes", "prediction")
+    files.save_model(fitted.model, path)
+    own = fitted.transform(feats).withColumnRenamed("prob", "own").select(*feats.columns, "own")
+    both = models.with_prob(files.load_model(path).transform(own))
+    return both.select("dr_no", "prob", F.abs(F.col("prob") - F.col("own")).alias("difference"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from citypulse.operators import spatial
 from citypulse.plans import common
 from citypulse.plans.catalog import register, rounded
+from citypulse.plans.oracle_sql import BASE, with_ctes
 from citypulse.sources import fixtures
 
 EPS_KM, MIN_SAMPLES = 1.0, 6
@@ -76,7 +77,11 @@ def q_cluster_summary(spark, sf):
     return rounded(spatial.cluster_summary(clustered))
 
 
-@register("heat_points")
+@register("heat_points", with_ctes(*BASE, body="""
+SELECT round(lat_key * CAST(0.0025 AS DOUBLE), 6) AS lat, round(lon_key * CAST(0.0025 AS DOUBLE), 6) AS lon, weight
+FROM (SELECT CAST(round_even(lat / 0.0025, 0) AS BIGINT) AS lat_key, CAST(round_even(lon / 0.0025, 0) AS BIGINT) AS lon_key,
+             count(*) AS weight
+      FROM clean WHERE lat IS NOT NULL AND lon IS NOT NULL AND is_violent = 1 GROUP BY 1, 2)"""))
 def q_heat_points(spark, sf):
-    """Rows-only: 5000 sampled violent incident points binned to weighted cells."""
-    return spatial.heat_points(common.clean(spark, sf), sample=5000, violent_only=True, cell_deg=0.0025)
+    """All violent incidents with coordinates, binned to weighted cells."""
+    return rounded(spatial.heat_points(common.clean(spark, sf), violent_only=True, cell_deg=0.0025))

@@ -260,7 +260,7 @@ def q_join_area_components(spark, sf):
     "SELECT d.area_id, d.area_name, round(avg(crimes), 6) AS mean_per_day, "
     "round(avg(crimes) FILTER (WHERE rn <= 28), 6) AS recent_mean, any_value(r.risk_tier) AS risk_tier "
     "FROM (SELECT *, row_number() OVER (PARTITION BY area_id, area_name ORDER BY date DESC) AS rn FROM daily) d "
-    "LEFT JOIN risk r ON d.area_name = r.area_name GROUP BY d.area_id, d.area_name",
+    "LEFT JOIN risk r ON d.area_id = r.area_id AND d.area_name = r.area_name GROUP BY d.area_id, d.area_name",
     [DAILY, LAGGED, FC, RISK]))
 def q_area_drilldown(spark, sf):
     return rounded(describe.area_drilldown(common.daily(spark, sf), risk_table(spark, sf)))

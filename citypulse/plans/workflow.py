@@ -56,10 +56,10 @@ def run_steps(spark: SparkSession, sf_dir: str, out: str, boost_rounds: int = 20
     files.write_parquet_artifacts(grid, f"{out}/grid_top500")
     db = spatial.dbscan_hotspots(clean, eps_km=0.4, min_samples=80, sample_size=60_000)
     files.write_parquet_artifacts(spatial.cluster_summary(db), f"{out}/clusters")
-    _sink(spatial.heat_points(clean, 120_000))
-    _sink(spatial.heat_points(clean, 80_000, violent_only=True))
+    _sink(spatial.heat_points(clean, cell_deg=0.0025))
+    _sink(spatial.heat_points(clean, violent_only=True, cell_deg=0.0025))
     mark("hotspot")
-    # models: two targets x (logreg, boosted trees) on a 200 000-row sample
+    # models: two targets x (logreg, boosted trees), fitted on 200 000 train rows at most
     feats = files.scan_parquet(spark, f"{out}/incident_features")
     for target in ("is_violent", "is_arrest"):
         metrics, fitted, test = models.train_classifier(

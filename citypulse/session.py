@@ -34,8 +34,9 @@ def build_session(master: str | None = None, app: str = "citypulse",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's own setting always wins; a private folder is only set when
-    the session has none (local tests).
+    The cluster's own setting always wins; a private folder is only made when
+    the session has none and runs in one process (``local[*]``): on a cluster
+    other machines could not read it, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="citypulse-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

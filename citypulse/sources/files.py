@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from citypulse import contract as C
 
@@ -107,8 +106,3 @@ def save_model(model, path: str) -> str:
 def load_model(path: str):
     from pyspark.ml import PipelineModel
     return PipelineModel.load(path)
-
-
-def with_row_count(df: DataFrame) -> DataFrame:
-    """Helper used in checks: one-row summary (rows) of a frame."""
-    return df.agg(F.count(F.lit(1)).alias("rows"))

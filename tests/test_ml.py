@@ -45,3 +45,33 @@ def test_forecast_next_period_shape(spark):
     assert out.count() == 3 * n_areas
     assert out.where(F.col("y_pred") < 0).count() == 0
     assert metrics.first().n > 0
+
+
+def test_saved_model_scores_alone(spark, planted, tmp_path):
+    from citypulse.sources import files
+    odd = planted.withColumn("area_name", F.when(F.col("dr_no") % 997 == 0, F.lit("it's a \\ rare one")).otherwise(F.col("area_name")))
+    fitted = models.train_logreg(odd, "y", max_iter=10)
+    files.save_model(fitted.model, str(tmp_path / "m"))
+    own = fitted.transform(odd).withColumnRenamed("prob", "own").select(*odd.columns, "own")
+    both = models.with_prob(files.load_model(str(tmp_path / "m")).transform(own))
+    assert both.agg(F.max(F.abs(F.col("prob") - F.col("own")))).first()[0] == 0
+    names = explain.expanded_feature_names(fitted, odd)
+    assert sum("infrequent" in n for n in names) == 1
+
+
+def test_short_area_is_forecast(spark):
+    from citypulse.plans import common
+    daily = common.daily(spark, SMOKE)
+    model, codes, _, _ = models.train_daily_forecaster(daily, max_iter=2)
+    last = daily.agg(F.max("date")).first()[0]
+    short = daily.where(F.col("date") >= F.date_sub(F.lit(last), 5)).where(F.col("area_id") == daily.first()["area_id"])
+    more = daily.unionByName(short.withColumns({"area_id": F.lit(999).cast(daily.schema["area_id"].dataType), "area_name": F.lit("new")}))
+    out = models.forecast_next_period(more, model, codes, horizon_days=2)
+    assert out.where("area_id = 999").count() == 2
+
+
+def test_whole_test_side_is_scored(spark, planted):
+    metrics, _, test = models.train_classifier(planted, "y", ("logreg",), sample=500, key="dr_no")
+    m = metrics.first()
+    assert m.tp + m.fp + m.tn + m.fn == test.count() == 800
+    assert m.support_1 + m.support_0 == 800 and 0 < m.precision_1 <= 1

@@ -90,7 +90,7 @@ def test_auc_and_ap_against_brute_force(spark):
     y = rng.integers(0, 2, 400)
     s = np.round(rng.random(400) * 0.3 + y * 0.1, 2)
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, prob double")
-    got = evaluate.ranking_metrics(df, "y", "prob", buckets=8).first()
+    got = evaluate.ranking_metrics(df, "y", "prob").first()
     pos, neg = s[y == 1], s[y == 0]
     auc = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
     ap = 0.0
@@ -158,3 +158,14 @@ def test_tail_trim_fires_on_thin_tail(spark):
     assert cut == dt.date(2001, 9, 24)
     plain = panels.tail_cutoff(common.daily(spark, SF001)).first()[0]
     assert plain == common.daily(spark, SF001).agg(F.max("date")).first()[0]
+
+
+def test_ranking_over_many_ranges_and_signs(spark):
+    rng = np.random.default_rng(5)
+    s = np.concatenate([rng.standard_normal(3000) * 10.0 ** rng.integers(-9, 9, 3000), np.zeros(50), -np.zeros(10)])
+    y = rng.integers(0, 2, len(s))
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, prob double")
+    got = evaluate.ranking_metrics(df, "y", "prob").first()
+    pos, neg = s[y == 1], s[y == 0]
+    auc = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
+    assert got.roc_auc == pytest.approx(auc, abs=1e-12)
