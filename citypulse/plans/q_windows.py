@@ -233,6 +233,15 @@ def risk_table(spark, sf):
     return risk.area_risk(d, forecast_standin(features.add_lag_features(d)))
 
 
+NO_FC = "fc AS (SELECT area_id, area_name, CAST(NULL AS DOUBLE) AS y_pred FROM daily WHERE 1 = 0)"
+
+
+@register("area_risk_no_forecast", _sql(f"SELECT area_id, area_name, {_r(*RISK_COLS)}, risk_rank, risk_tier FROM risk",
+                            [DAILY, NO_FC, RISK]))
+def q_area_risk_no_forecast(spark, sf):
+    return rounded(risk.area_risk(common.daily(spark, sf)))
+
+
 @register("area_risk", _sql(f"SELECT area_id, area_name, {_r(*RISK_COLS)}, risk_rank, risk_tier FROM risk",
                             [DAILY, LAGGED, FC, RISK]))
 def q_area_risk(spark, sf):
@@ -463,9 +472,21 @@ def q_exact_sample(spark, sf):
     return sampling.exact_sample(common.clean(spark, sf), 5000).select("dr_no", "area_id", "is_violent")
 
 
-@register("stratified_split")
+@register("exact_sample_check", _sql(
+    "SELECT least(5000, count(*)) AS n, least(5000, count(*)) AS n_members FROM clean"))
+def q_exact_sample_check(spark, sf):
+    """The sample's size, and how many of its rows are members of the sampled table."""
+    c = common.clean(spark, sf).select("dr_no")
+    s = sampling.exact_sample(c, 5000)
+    members = s.join(c, "dr_no", "left_semi").agg(F.count(F.lit(1)).alias("n_members"))
+    return s.agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(members))
+
+
+@register("stratified_split", _sql(
+    "SELECT is_violent, 'train' AS split, CAST(round(count(*) * 0.8) AS BIGINT) AS n FROM clean GROUP BY is_violent UNION ALL "
+    "SELECT is_violent, 'test' AS split, CAST(count(*) - round(count(*) * 0.8) AS BIGINT) AS n FROM clean GROUP BY is_violent"))
 def q_stratified_split(spark, sf):
-    """Rows-only check: per (class, split) counts of an exact 80/20 split."""
+    """Counts per (class, split) of an exact 80/20 split."""
     c = common.clean(spark, sf).select("dr_no", "is_violent")
     s = sampling.stratified_split(c, "is_violent", 0.8)
     return s.groupBy("is_violent", "split").agg(F.count(F.lit(1)).alias("n"))
