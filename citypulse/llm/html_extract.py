@@ -31,6 +31,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs2>[^<>]*+)(?:>|(?=<)|\Z)|[^<]+|<", re.S)
+MARKED = re.compile(r"<(article|main)[\s>]", re.I)
 ATTRIBUTE = re.compile(r"(?:^|[\s\"'])(class|id|role|aria-label|style|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?",
                        re.I)
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -44,6 +45,11 @@ NOISE_WORDS = frozenset(
     "nav navbar navigation breadcrumb breadcrumbs footer masthead topbar comment comments respond reply replies disqus "
     "discussion related recommended recommendations teaser teasers share sharing social widget toolbar pagination pager "
     "search skip copyright contentinfo complementary form disclaimer".split())
+#: Words that are joined to others in names, as in commentlist or cookiebar.
+NOISE_STARTS = ("advert", "sponsor", "cookie", "newsletter", "sidebar", "breadcrumb", "navbar", "footer", "adsense", "adslot",
+                "commentlist", "commentbox", "commentform", "commentarea", "sharebar", "sharebox", "popup")
+#: A name with one of these tells what a page has, not what the element is.
+STATES = frozenset("has with without no open closed enabled disabled layout page".split())
 #: A site's header is left out; a header inside the content holds its headline.
 HEADER_WORDS = frozenset(["header"])
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -65,7 +71,7 @@ PROSE_TAGS = frozenset("p b i em strong u br h1 h2 h3 h4 h5 h6 blockquote pre co
 def _noisy(name: str, attrs: str, in_content: bool) -> bool:
     if name in EXCLUDED or name == "header" and not in_content:
         return True
-    if name in ("html", "body", "article", "main") or not attrs:
+    if name in ("html", "body", "main") or not attrs:
         return False
     for key, value in ATTRIBUTE.findall(attrs):
         key, value = key.lower(), value.strip("\"'")
@@ -75,9 +81,13 @@ def _noisy(name: str, attrs: str, in_content: bool) -> bool:
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                 return True
             continue
-        words = {w.lower() for w in PIECES.findall(value)}
-        if words & NOISE_WORDS or not in_content and words & HEADER_WORDS:
-            return True
+        for label in value.split():
+            words = {label.lower()} if name == "article" else {w.lower() for w in PIECES.findall(label)}
+            if words & STATES:
+                continue
+            if words & NOISE_WORDS or not in_content and words & HEADER_WORDS or any(
+                    w.startswith(NOISE_STARTS) for w in words):
+                return True
     return False
 
 
@@ -85,9 +95,10 @@ def tokens(page: str) -> list[tuple[str, str, int]]:
     """(kind, text, words): kind ``tag:<name>`` (text "/" for an end tag, "+" inside marked
     content, else empty), a word kind, or ``skipped`` for words that are never content. A run of text of one kind is one entry."""
     out: list[tuple[str, str, int]] = []
-    marked = re.search(r"<(article|main)[\s>]", page, re.I) is not None
+    marked = MARKED.search(page) is not None
     stack: list[tuple[str, bool]] = []  # open elements and whether they are noise
     noise = content = link = 0
+    begun = False  # a content element has begun
     at, n = 0, len(page)
     while at < n:
         m = TOKEN.match(page, at)
@@ -113,7 +124,7 @@ def tokens(page: str) -> list[tuple[str, str, int]]:
                 while stack:
                     x, bad = stack.pop()
                     noise -= bad
-                    content -= x in CONTENT
+                    content -= x in CONTENT and not bad
                     if x == name:
                         break
             if not noise:
@@ -124,8 +135,8 @@ def tokens(page: str) -> list[tuple[str, str, int]]:
             at = stop.end() if stop else n
             continue
         attrs = m["attrs"] or m["attrs2"] or ""
-        if name in CONTENT and noise and not content:  # the content never lies in noise: that was left open
-            stack, noise = [(x, False) for x, _ in stack], 0
+        if name in CONTENT and noise and not begun and not _noisy(name, attrs, False):
+            stack, noise = [(x, False) for x, _ in stack], 0  # the content never lies in noise: that was left open
         if stack and stack[-1][0] == name and name in SELF_CLOSING:
             noise -= stack.pop()[1]
         bad = _noisy(name, attrs, content > 0)
@@ -134,7 +145,8 @@ def tokens(page: str) -> list[tuple[str, str, int]]:
         if name not in VOID and not attrs.endswith("/") and (name in BLOCK or bad):
             stack.append((name, bad))
             noise += bad
-            content += name in CONTENT
+            content += name in CONTENT and not bad
+            begun |= content > 0
         if not noise:
             out.append((f"tag:{name}", "+" if content else "", 0))
     return out

@@ -34,6 +34,10 @@ def test_layouts():
                  f"<body>{noise}<main><div>{body}{tail}</div></main>", f"{noise}<article>{body}", f"{noise}<div id=content>{body}</div>{tail}",
                  f"<BODY>{noise}<ARTICLE CLASS='post'>{body.replace('<ul>', ad + '<ul>')}</ARTICLE>{tail}"):
         assert html_extract.main_text(page, W) == want, page
+    own = (f'<div class="has-sidebar"><article class="post comments-open">{body}</article></div><ol class="commentlist">'
+           '<article class="comment"><p>First comment of a reader of this.</p></article></ol><div id="cookiebar"><p>We use '
+           'cookies here, do you agree?</p></div>')
+    assert html_extract.main_text(own, W) == want
 
 
 def test_broken_and_empty_pages(spark):
