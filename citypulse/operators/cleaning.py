@@ -7,7 +7,7 @@ can prune columns and push filters into the Parquet/CSV reader.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citypulse import contract as C
@@ -149,21 +149,36 @@ def clean_incidents(raw: DataFrame, bbox: dict | None = None,
 
 # -- incident features --------------------------------------------------------
 
-def impute_median(df: DataFrame, cols=("victim_age", "lat", "lon"), approx: bool = False,
-                  accuracy: int = 100000) -> DataFrame:
-    """Fill nulls with the column's global median (exact, interpolated).
+def medians(df: DataFrame, cols) -> DataFrame:
+    """One row: the exact, interpolated median of every column (``__med_<column>``).
+
+    Values are counted per value (combined in the tasks); totals of log-spaced value
+    ranges, a bounded table, tell the range in which the middle lies, and only the
+    distinct values of that range are ordered.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])
+    counts = (df.select(F.inline(pairs)).where(F.col("v").isNotNull()).groupBy("c", "v")
+              .agg(F.count(F.lit(1)).alias("n")).withColumn("r", X.value_range(F.col("v"))))
+    upto = Window.partitionBy("c").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("c")
+    middle = (counts.groupBy("c", "r").agg(F.sum("n").alias("in_range"))
+              .withColumns({"before": F.coalesce(F.sum("in_range").over(upto), F.lit(0)), "total": F.sum("in_range").over(whole)})
+              .withColumns({"low": F.expr("(total + 1) div 2"), "high": F.expr("(total + 2) div 2")})
+              .where((F.col("before") < F.col("high")) & (F.col("before") + F.col("in_range") >= F.col("low"))))
+    inside = Window.partitionBy("c", "r").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (counts.join(middle.select("c", "r", "before", "low", "high"), ["c", "r"])
+              .withColumn("last", F.col("before") + F.sum("n").over(inside)).withColumn("first", F.col("last") - F.col("n") + 1))
+    at = {k: F.when((F.col("first") <= F.col(k)) & (F.col("last") >= F.col(k)), F.col("v")) for k in ("low", "high")}
+    return placed.agg(*[(F.max(F.when(F.col("c") == c, at["low"])) * 0.5 + F.max(F.when(F.col("c") == c, at["high"])) * 0.5)
+                        .alias(f"__med_{c}") for c in cols])
+
+
+def impute_median(df: DataFrame, cols=("victim_age", "lat", "lon")) -> DataFrame:
+    """Fill nulls with the column's global median (exact, interpolated; see :func:`medians`).
 
     The medians are one aggregate row, cross-joined (broadcast, 1 row) back.
-    ``approx=True`` swaps the exact percentile for ``percentile_approx`` when the
-    distinct count of a column is too large for an exact merge.
     """
-    aggs = []
-    for c in cols:
-        m = (F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy) if approx
-             else F.median(F.col(c).cast("double")))
-        aggs.append(m.alias(f"__med_{c}"))
-    med = df.agg(*aggs)
-    joined = df.crossJoin(F.broadcast(med))
+    joined = df.crossJoin(F.broadcast(medians(df, cols)))
     filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"__med_{c}")) for c in cols}
     return joined.withColumns(filled).drop(*[f"__med_{c}" for c in cols])
 
@@ -183,11 +198,11 @@ def cyclic_encode(df: DataFrame, periods: dict | None = None) -> DataFrame:
     return df.withColumns(out)
 
 
-def build_incident_features(clean: DataFrame, approx_median: bool = False, keep=()) -> DataFrame:
+def build_incident_features(clean: DataFrame, keep=()) -> DataFrame:
     """21 projected columns + imputations + 6 cyclic encodings (27 columns);
     ``keep`` carries extra columns through (e.g. a row key)."""
     feats = clean.select(*keep, *C.INCIDENT_FEATURE_COLUMNS)
-    feats = impute_median(feats, approx=approx_median)
+    feats = impute_median(feats)
     feats = clip_report_lag(feats)
     return cyclic_encode(feats)
 

@@ -169,3 +169,14 @@ def test_ranking_over_many_ranges_and_signs(spark):
     pos, neg = s[y == 1], s[y == 0]
     auc = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
     assert got.roc_auc == pytest.approx(auc, abs=1e-12)
+
+
+def test_medians_against_numpy(spark):
+    from citypulse.operators import cleaning
+    rng = np.random.default_rng(11)
+    for n in (1, 2, 7, 500, 501):
+        cols = {"a": rng.standard_normal(n) * 10.0 ** rng.integers(-3, 4, n), "b": np.round(rng.random(n) * 4 - 2), "c": np.full(n, 34.05)}
+        rows = [tuple(float(cols[k][i]) for k in "abc") for i in range(n)] + [(None, None, None)] * 3
+        got = cleaning.medians(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"]).first()
+        for k in "abc":
+            assert got[f"__med_{k}"] == pytest.approx(np.median(cols[k]), abs=1e-12)
