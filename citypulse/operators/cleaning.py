@@ -7,7 +7,7 @@ can prune columns and push filters into the Parquet/CSV reader.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from citypulse import contract as C
@@ -95,16 +95,14 @@ def flag_weapon_used(df: DataFrame) -> DataFrame:
     return df.withColumn("weapon_used", F.col("weapon_code").isNotNull().cast("int"))
 
 
-def drop_undated(df: DataFrame, observation_name: str | None = None) -> DataFrame:
+def drop_undated(df: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Drop rows without ``date_occurred``.
 
-    When ``observation_name`` is given the dropped count is collected as a
-    side metric of the same job (``DataFrame.observe``), no extra scan.
+    The caller's ``observation`` gets the dropped count (``observation.get["dropped"]``)
+    as a side metric of the first job over the result, without a scan of its own.
     """
-    if observation_name:
-        from pyspark.sql import Observation
-        obs = Observation(observation_name)
-        df = df.observe(obs, F.count_if(F.col("date_occurred").isNull()).alias("dropped"))
+    if observation is not None:
+        df = df.observe(observation, F.count_if(F.col("date_occurred").isNull()).alias("dropped"))
     return df.where(F.col("date_occurred").isNotNull())
 
 

@@ -94,3 +94,16 @@ def test_missing_table_and_overview_on_empty(spark):
     empty = clean.where(F.lit(False))
     k = describe.kpi_summary(empty).first()
     assert k.crimes == 0 and k.violent_pct == 0.0 and k.areas == 0
+
+
+def test_drop_undated_reports_what_it_drops(spark):
+    import datetime as dt
+
+    from pyspark.sql import Observation
+
+    from citypulse.operators import cleaning
+    rows = [(1, dt.datetime(2024, 1, 1)), (2, None), (3, None)]
+    seen = Observation("undated")
+    kept = cleaning.drop_undated(spark.createDataFrame(rows, "dr_no long, date_occurred timestamp"), seen)
+    assert [r.dr_no for r in kept.collect()] == [1]
+    assert seen.get["dropped"] == 2
