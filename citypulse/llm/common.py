@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,21 +35,25 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def saved(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back: cuts
-    the lineage, survives lost executors and keeps column pruning and statistics.
-    The shuffle files behind it go when it is written."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Shuffle files of what is written inside go as soon as it is written."""
     before = spark.conf.get(SHUFFLE_CLEANUP)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        writer.parquet(path)
+        yield
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it back: cuts
+    the lineage, survives lost executors and keeps column pruning and statistics.
+    The shuffle files behind it go when it is written."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

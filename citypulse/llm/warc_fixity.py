@@ -23,12 +23,13 @@ import gzip
 import hashlib
 import math
 import re
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citypulse.llm.common import saved, scratch
+from citypulse.llm.common import saved, scratch, shuffles_dropped
 
 PER_ARCHIVE = 2000
 FANOUT = 16
@@ -70,11 +71,14 @@ def records(pages: DataFrame, per_archive: int = PER_ARCHIVE) -> DataFrame:
         record(F.col("key"), F.col("p.page_id"), F.col("p.url"), F.col("p.html"), F.col("copies")).alias("record"))
 
 
-def write_archives(recs: DataFrame, path: str, *parts: str) -> None:
-    """Write (archive, key, record) as ``<path>/<parts>/archive=N/*.txt.gz``, records in order of their key."""
-    (recs.repartition("archive").sortWithinPartitions(*parts, "archive", "key")
-     .select(*parts, "archive", F.col("record").alias("value"))
-     .write.partitionBy(*parts, "archive").option("lineSep", END).option("compression", "gzip").text(path))
+def write_archives(recs: DataFrame, path: str, *parts: str, change: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Write (archive, key, record) as ``<path>/<parts>/archive=N/*.txt.gz``, records in order
+    of their key. ``change`` may replicate or alter the records once they are in place."""
+    placed = recs.repartition("archive")
+    placed = (change(placed) if change else placed).sortWithinPartitions(*parts, "archive", "key")
+    with shuffles_dropped(recs.sparkSession):
+        (placed.select(*parts, "archive", F.col("record").alias("value"))
+         .write.partitionBy(*parts, "archive").option("lineSep", END).option("compression", "gzip").text(path))
 
 
 def _parse(data: bytes):
@@ -195,7 +199,7 @@ def query(pages: DataFrame) -> DataFrame:
         return spark.createDataFrame([], "page_id long, copies long, archive long, pos long, offset long, length long, "
                                          "hash string, status string")
     path = scratch(spark, "warc")
-    write_archives(with_faults(records(pages.select("page_id", "url", "html"))), path, "replica")
+    write_archives(records(pages.select("page_id", "url", "html")), path, "replica", change=with_faults)
     files = archive_files(spark, path, "replica")
     return audit(files.where("replica = 'a'"), files.where("replica = 'b'")).select(
         F.col("page_id").cast("long").alias("page_id"), "copies", "archive", "pos", "offset", "length", "hash", "status")
