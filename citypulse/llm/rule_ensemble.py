@@ -7,8 +7,8 @@
 3. ``RuleModel.score``: the rules left are compiled into one column expression,
    so scoring is a scan without Python or shuffle.
 
-The fit sees at most ``FIT_ROWS`` labelled rows, those of smallest hash of the
-id; scoring covers all rows. Null text counts as empty. Null labels are left
+The fit sees about ``FIT_ROWS`` labelled rows, drawn by a hash of the id; scoring
+covers all rows. Null text counts as empty. Null labels are left
 out; an id labelled more than once counts with its smallest label. With labels
 of one kind only (or none) the score is the smoothed share of label 1.
 """
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from citypulse.llm.common import SPACE_REGEX, fold, saved
 
-#: Bound on the labelled rows that the fit sees.
-FIT_ROWS = 20_000
+#: Expected number of labelled rows that the fit sees, and the tasks it is dealt to.
+FIT_ROWS, FIT_TASKS = 20_000, 4
 TREES, DEPTH = 20, 3
 #: Weight of the L1 penalty.
 PENALTY = 2e-3
@@ -148,9 +148,14 @@ def fitted_model(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id"
     """The model from the labels whose id is not held out."""
     labels = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(id_col, label_col)
               .where(fold(id_col, HELD_OUT_MOD) != 0).groupBy(id_col).agg(F.min(label_col).alias("__label")))
-    drawn = labels.orderBy(F.xxhash64(id_col), id_col).limit(FIT_ROWS)  # bounded, so it may be broadcast
+    labels = saved(labels, "rule-labels")
+    share = min(1.0, FIT_ROWS / max(1, labels.count()))
+    drawn = labels.where(F.pmod(F.xxhash64(id_col, F.lit(41)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    # about FIT_ROWS ids and labels, so they may be broadcast
     texts = documents.select(F.col(id_col), F.col(text_col).alias("__text")).join(F.broadcast(drawn), id_col)
-    return fit(saved(with_statistics(texts.select("__label", "__text"), "__text").drop("__text"), "rule-fit"), "__label")
+    rows = saved(with_statistics(texts.select("__label", "__text"), "__text").drop("__text"), "rule-rows")
+    # a few hundred bytes a row: the fit runs dozens of jobs over it, each with few tasks
+    return fit(saved(rows.coalesce(FIT_TASKS), "rule-fit"), "__label")
 
 
 def classify(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
