@@ -65,8 +65,12 @@ def records(pages: DataFrame, per_archive: int = PER_ARCHIVE) -> DataFrame:
     """(archive, key, record) of ``pages`` (page_id, url, html)."""
     archives = max(1, math.ceil(pages.count() / per_archive))
     keyed = pages.select("page_id", "url", "html", page_key().alias("key"))
-    distinct = keyed.groupBy("key").agg(F.count("*").alias("copies"), F.any_value(F.struct("page_id", "url", "html")).alias("p"))
-    return distinct.select(
+    # only keys are counted, so that pages without a copy are shuffled once, to their archive
+    repeated = saved(keyed.groupBy("key").agg(F.count("*").alias("copies")).where("copies > 1"), "warc-copies")
+    page = F.struct("page_id", "url", "html").alias("p")
+    single = keyed.join(repeated, "key", "left_anti").select("key", F.lit(1).cast("long").alias("copies"), page)
+    several = keyed.join(repeated, "key").groupBy("key", "copies").agg(F.any_value(page).alias("p"))
+    return single.union(several).select(
         (hex_number(F.col("key"), 1, 8) % archives).alias("archive"), "key",
         record(F.col("key"), F.col("p.page_id"), F.col("p.url"), F.col("p.html"), F.col("copies")).alias("record"))
 
