@@ -11,10 +11,12 @@ of its outputs are hashed into a key. The number of tables follows from
 ``recall``: the chance that one table finds a copy with ``DESIGN_RATIO`` edits is
 measured on seeded edits of the items themselves.
 
-*Query.* Every document walks from every ``STRIDE``-th word (the index holds all
-offsets, so any alignment meets). A window whose key is in the index is a
-candidate; the exact edit distance of the whole item to the words around it
-decides: at most ``max_ratio`` of the item's words.
+*Query.* Every document walks from every ``STRIDE``-th of its own words, and for
+classes whose items may hold fewer offsets than that (under 9 words) from every
+word: any alignment meets an offset of the index, the first one in short classes. A
+walk stays at the end of its text or item, so a text's neighbours do not change its
+keys. A window whose key is in the index is a candidate; the exact edit distance of
+the whole item to the words around it decides: at most ``max_ratio`` of the item's words.
 
 Documents stay where they are: no shuffle. Items are broadcast in blocks of
 ``BLOCK_WORDS`` words at most; more items mean more passes in the same tasks.
@@ -98,6 +100,29 @@ def length_class(n: int) -> int:
     return min(low, n)
 
 
+def stride(low: int) -> int:
+    """Words between the starts for class ``low``: its shortest items hold ``low`` words."""
+    return STRIDE if len(offsets(low, low)) >= STRIDE else 1
+
+
+def offsets(n: int, low: int) -> range:
+    """Offsets of an item of ``n`` words from which walks of class ``low`` are taken."""
+    return range(n - (3 * low + 4) // 5 + 1)
+
+
+def spaced(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``words`` with the end mark 0 after each text, and where each text then begins."""
+    return np.insert(words, first[1:], np.uint64(0)), first + np.arange(len(first))
+
+
+def starts(first: np.ndarray, step: int) -> np.ndarray:
+    """Every ``step``-th word of each text of :func:`spaced`, from the text's own first word."""
+    within = np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
+    mark = np.zeros(first[-1], dtype=bool)
+    mark[first[1:] - 1] = True
+    return np.flatnonzero((within % step == 0) & ~mark)
+
+
 class Walks:
     """The random walks of ``tables`` repetitions for length classes ``lows``."""
 
@@ -108,18 +133,20 @@ class Walks:
                         for _ in range(tables)]
 
     def keys(self, words: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """(table, class, key of each start ``at``): one walk serves all classes."""
+        """(table, class, key of each start ``at``): one walk serves all classes. ``words`` are
+        :func:`spaced`; a walk that comes to an end mark stays there."""
         steps = self.lows[-1] if self.lows else 0
-        padded = np.concatenate((words, np.zeros(steps + 1, np.uint64)))
+        ends = np.flatnonzero(words == 0)
         for table, samples in enumerate(self.samples):
             pos = at.copy()
             keys = {low: np.full(len(at), np.uint64(low)) for low in self.lows}
             for j in range(steps):
                 if j % 64 == 0:
-                    bits = _mix(padded, self.seed * 1_000_003 + table * 1009 + j // 64 + 1)
+                    bits = _mix(words, self.seed * 1_000_003 + table * 1009 + j // 64 + 1)
+                    bits[ends] = 0
                 for low in self.lows:
                     if j < low and j in samples[low]:
-                        keys[low] = (keys[low] * np.uint64(_P)) ^ padded[pos]
+                        keys[low] = (keys[low] * np.uint64(_P)) ^ words[pos]
                 if j + 1 in self.lows:
                     yield table, j + 1, _mix(keys[j + 1], table)
                 pos += ((bits[pos] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64)
@@ -139,27 +166,28 @@ class Index:
         self.walks = Walks(list(groups), self.tables)
         self.entries = {}
         for low, members in groups.items():
-            words = np.concatenate([items[k][1] for k in members])
+            words, first = self._joined([items[k][1] for k in members])
             item, offset, at = [], [], []
-            base = 0
-            for k in members:
-                n = len(items[k][1])
-                for o in range(n - (3 * low + 4) // 5 + 1):
+            for k, base in zip(members, first.tolist()):
+                for o in offsets(len(items[k][1]), low):
                     item.append(k)
                     offset.append(o)
                     at.append(base + o)
-                base += n
             item, offset = np.array(item), np.array(offset)
-            for table, c, keys in Walks.keys(self._only(low), words, np.array(at)):
+            for table, c, keys in self._only([low]).keys(words, np.array(at)):
                 order = np.argsort(keys, kind="stable")
                 bits = max(10, (16 * len(keys)).bit_length())
                 seen = np.zeros(1 << bits, dtype=bool)
                 seen[(keys >> np.uint64(64 - bits)).astype(np.int64)] = True
                 self.entries[table, c] = (keys[order], item[order], offset[order], seen, bits)
 
-    def _only(self, low: int) -> Walks:
+    @staticmethod
+    def _joined(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return spaced(np.concatenate(texts), np.cumsum([0, *map(len, texts)]))
+
+    def _only(self, lows: list[int]) -> Walks:
         one = Walks.__new__(Walks)
-        one.lows, one.tables, one.seed = [low], self.tables, self.walks.seed
+        one.lows, one.tables, one.seed = lows, self.tables, self.walks.seed
         one.samples = self.walks.samples
         return one
 
@@ -170,43 +198,41 @@ class Index:
         need = 1
         for low, members in groups.items():
             picked = [members[i % len(members)] for i in range(max(200, len(members)))][:400]
-            copies, at, starts = [], [], 0
+            copies = []
             for k in picked:
                 w = list(self.items[k][1])
                 for _ in range(int(DESIGN_RATIO * len(w))):
                     i, kind = int(rng.integers(len(w))), int(rng.integers(3))
                     new = np.uint64(rng.integers(1 << 62))
                     w[i:i + 1] = [[new], [], [w[i], new]][kind]
-                shift = int(rng.integers(STRIDE))
-                copies.append(np.array([*w], dtype=np.uint64))
-                at.append((starts + shift, starts + len(w)))
-                starts += len(w)
+                around = rng.integers(1, 1 << 62, int(rng.integers(STRIDE)) + STRIDE, dtype=np.uint64)
+                copies.append(np.array([*around[STRIDE:], *w, *around[:STRIDE]], dtype=np.uint64))
             probe = Index([self.items[k] for k in dict.fromkeys(picked)], recall, self.max_ratio, tables=4)
             names = {id(self.items[k][1]): k for k in picked}
             own = [names[id(w)] for _, w in probe.items]
-            words = np.concatenate(copies)
-            where = np.concatenate([np.arange(a, b, STRIDE) for a, b in at])
-            of = np.repeat(np.arange(len(at)), [len(range(a, b, STRIDE)) for a, b in at])
+            words, first = self._joined(copies)
             met = np.zeros((4, len(picked)), dtype=bool)
-            for table, c, rows, item, _ in probe.candidates(words, where):
-                hit = np.array([own[i] for i in item.tolist()]) == np.array(picked)[of[rows]]
-                met[table, of[rows[hit]]] = True
+            for table, c, at, item, _ in probe.candidates(words, first):
+                of = np.searchsorted(first, at, side="right") - 1
+                met[table, of[np.array(own)[item] == np.array(picked)[of]]] = True
             p = min(max(met.mean(), 0.05), 1 - 1e-9)
             need = max(need, math.ceil(math.log(1 - recall) / math.log(1 - p)))
         return need
 
-    def candidates(self, words: np.ndarray, at: np.ndarray):
-        """(table, class, rows of ``at``, item, offset) of the windows whose key is in the index."""
-        for table, c, keys in self.walks.keys(words, at):
-            known, item, offset, seen, bits = self.entries[table, c]
-            rows = np.flatnonzero(seen[(keys >> np.uint64(64 - bits)).astype(np.int64)])
-            lo = np.searchsorted(known, keys[rows], "left")
-            hi = np.searchsorted(known, keys[rows], "right")
-            n = hi - lo
-            if n.any():
-                rows = np.repeat(rows, n)
-                entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-                yield table, c, rows, item[entry], offset[entry]
+    def candidates(self, words: np.ndarray, first: np.ndarray):
+        """(table, class, starts, item, offset) of the windows of the :func:`spaced` texts whose key is in the index."""
+        for step in sorted({stride(low) for low in self.walks.lows}):
+            at = starts(first, step)
+            for table, c, keys in self._only([low for low in self.walks.lows if stride(low) == step]).keys(words, at):
+                known, item, offset, seen, bits = self.entries[table, c]
+                rows = np.flatnonzero(seen[(keys >> np.uint64(64 - bits)).astype(np.int64)])
+                lo = np.searchsorted(known, keys[rows], "left")
+                hi = np.searchsorted(known, keys[rows], "right")
+                n = hi - lo
+                if n.any():
+                    rows = np.repeat(rows, n)
+                    entry = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+                    yield table, c, at[rows], item[entry], offset[entry]
 
 
 def edit_distance_within(item: np.ndarray, words: np.ndarray) -> int:
@@ -238,17 +264,16 @@ def found_items(index: Index, texts: list[bytes]) -> list[list[int]]:
 def _search(index: Index, texts: list[bytes], out: list[set[int]]) -> None:
     if not texts:
         return
-    words, first = word_hashes(texts)
-    at = np.arange(0, len(words), STRIDE)
+    words, first = spaced(*word_hashes(texts))
     tried: set[tuple[int, int, int]] = set()
-    for _, _, rows, item, offset in index.candidates(words, at):
-        text = np.searchsorted(first, at[rows], side="right") - 1
-        for t, i, begin in zip(text.tolist(), item.tolist(), (at[rows] - offset).tolist()):
+    for _, _, at, item, offset in index.candidates(words, first):
+        text = np.searchsorted(first, at, side="right") - 1
+        for t, i, begin in zip(text.tolist(), item.tolist(), (at - offset).tolist()):
             if i in out[t]:
                 continue
             target = index.items[i][1]
             edits = int(index.max_ratio * len(target))
-            around = (max(first[t], begin - 2 * edits), min(first[t + 1], begin + len(target) + 2 * edits))
+            around = (max(first[t], begin - 2 * edits), min(first[t + 1] - 1, begin + len(target) + 2 * edits))
             if (t, i, around[0]) in tried:
                 continue
             tried.add((t, i, around[0]))

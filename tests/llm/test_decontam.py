@@ -90,3 +90,31 @@ def test_edges_and_item_blocks(spark, monkeypatch):
     assert got == {0: [], 1: [], 2: [], 3: [1, 5], 4: [4], 5: [6], 6: [], 7: [1, 5]}
     assert {r["contaminated"] for r in decontam.decontaminate(df, bench.limit(0)).collect()} == {False}
     assert decontam.decontaminate(df.limit(0), bench).collect() == []
+
+
+def test_short_items_at_all_alignments_behind_other_texts():
+    items = [(n, " ".join(f"s{n}x{i}" for i in range(n))) for n in range(1, 13)]
+    index = decontam.Index([(i, decontam.word_hashes([t.encode()])[0]) for i, t in items], decontam.RECALL, 0.2)
+    for before in range(5):
+        texts = [" ".join(["p"] * before)]
+        for k in range(8):
+            texts += [" ".join([*(f"f{j}" for j in range(k)), t, "g h i j"]) for _, t in items]
+            texts += [" ".join([*(f"f{j}" for j in range(k)), t]) for _, t in items]
+        found = decontam.found_items(index, [t.encode() for t in texts])
+        assert [[index.items[i][0] for i in f] for f in found] == brute(texts, items), before
+
+
+def test_verdict_does_not_depend_on_neighbours():
+    rng = random.Random(8)
+    items = [(k, " ".join(f"i{k}x{j}" for j in range(20))) for k in range(40)]
+    index = decontam.Index([(i, decontam.word_hashes([t.encode()])[0]) for i, t in items], 0.5, 0.2, tables=2)
+    texts = []
+    for k, t in items * 4:
+        words = t.split()
+        for _ in range(3):
+            words[rng.randrange(len(words))] = f"new{rng.random()}"
+        texts.append(" ".join([*(f"f{j}" for j in range(rng.randrange(9))), *words]).encode())
+    alone = [decontam.found_items(index, [t])[0] for t in texts]
+    assert any(alone) and not all(alone)
+    assert decontam.found_items(index, texts) == alone
+    assert decontam.found_items(index, [b"a b c", *texts[::-1]])[:0:-1] == alone
