@@ -72,9 +72,16 @@ def class_of(sym: np.ndarray) -> np.ndarray:
     return np.where(sym < FREQUENT, sym // GROUP_SIZE, sym - FREQUENT + GROUPS)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _softmax_loss(x: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
+    """Loss sum of the targets under the logits ``x`` (overwritten), and its gradient."""
+    at = (np.arange(len(x)), target)
+    x -= x.max(axis=1, keepdims=True)
+    own = x[at].sum()
+    np.exp(x, out=x)
+    total = x.sum(axis=1, keepdims=True)
+    x /= total
+    x[at] -= 1
+    return np.log(total).sum() - own, x
 
 
 def log_probs(p: Params, h: np.ndarray, target: np.ndarray) -> np.ndarray:
@@ -144,22 +151,18 @@ def gradients(p: Params, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray)
     flat, y = np.concatenate(states), targets.ravel()
     cls = class_of(y)
     grads = {k: np.zeros_like(v) for k, v in p.items()}
-    lp = _log_softmax(flat @ p["C"] + p["c"])
-    rows = np.arange(len(y))
-    loss = -lp[rows, cls].sum()
-    d = np.exp(lp)
-    d[rows, cls] -= 1
+    loss, d = _softmax_loss(flat @ p["C"] + p["c"], cls)
     grads["C"], grads["c"] = flat.T @ d, d.sum(axis=0)
     dh = d @ p["C"].T
+    order = np.argsort(cls, kind="stable")
+    bounds = np.searchsorted(cls[order], np.arange(GROUPS + 1))
     for g in range(GROUPS):
-        idx = np.flatnonzero(cls == g)
+        idx = order[bounds[g]:bounds[g + 1]]
         if len(idx):
-            lp = _log_softmax(flat[idx] @ p["W"][g] + p["w"][g])
-            at = (np.arange(len(idx)), y[idx] % GROUP_SIZE)
-            loss -= lp[at].sum()
-            d = np.exp(lp)
-            d[at] -= 1
-            grads["W"][g], grads["w"][g] = flat[idx].T @ d, d.sum(axis=0)
+            part = flat[idx]
+            more, d = _softmax_loss(part @ p["W"][g] + p["w"][g], y[idx] % GROUP_SIZE)
+            loss += more
+            grads["W"][g], grads["w"][g] = part.T @ d, d.sum(axis=0)
             dh[idx] += d @ p["W"][g].T
     dh = dh.reshape(len(inputs), -1, HIDDEN)
     carry = np.zeros_like(h)
@@ -175,7 +178,9 @@ def gradients(p: Params, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray)
         grads["u"] += dm.sum(axis=0)
         carry = dm @ p["U"].T + g * z
         carry[inputs[t] == START] = 0
-    np.add.at(grads["X"], inputs.ravel(), da.reshape(-1, 3 * HIDDEN))
+    order = np.argsort(inputs.ravel(), kind="stable")
+    used, at = np.unique(inputs.ravel()[order], return_index=True)
+    grads["X"][used] = np.add.reduceat(da.reshape(-1, 3 * HIDDEN)[order], at, axis=0)
     return loss, grads, h
 
 
@@ -209,17 +214,49 @@ class Streams:
 
 def train(p: Params, texts: list[np.ndarray], windows: int, width: int = 64, rate: float = 3e-3) -> Params:
     """``windows`` Adam updates, each over one window of ``width`` streams."""
-    p = {k: v.copy() for k, v in p.items()}
     if not texts or windows < 1:
-        return p
+        return {k: v.copy() for k, v in p.items()}
     streams = Streams(texts, width)
-    h = np.zeros((width, HIDDEN), np.float32)
+    return _adam(p, ((*streams.window(), i == 0) for i in range(windows)), windows, rate)
+
+
+def train_whole(p: Params, texts: list[np.ndarray], width: int = 128, rate: float = 1e-3) -> Params:
+    """Adam updates over every symbol of ``texts`` exactly once. The texts lie end to end in
+    ``width`` equal streams, the rest in fewer; a text that goes over the end of a stream
+    goes on in the next one from an empty state."""
+    if not texts:
+        return {k: v.copy() for k, v in p.items()}
+    y = np.concatenate(texts).astype(np.int64)
+    x = np.concatenate(([START], y[:-1]))
+    x[np.cumsum([len(t) for t in texts])[:-1]] = START
+    blocks, at = [], 0
+    while at < len(y):
+        left = len(y) - at
+        streams, steps = max(1, min(width, left // STEPS)), min(STEPS, left)
+        times = left // (streams * steps)
+        blocks.append((at, streams, steps, times))
+        at += streams * steps * times
+
+    def windows():
+        for at, streams, steps, times in blocks:
+            cut = slice(at, at + streams * steps * times)
+            a, b = x[cut].reshape(streams, -1).T, y[cut].reshape(streams, -1).T
+            for t in range(0, steps * times, steps):
+                yield a[t:t + steps], b[t:t + steps], t == 0
+
+    return _adam(p, windows(), sum(b[3] for b in blocks), rate)
+
+
+def _adam(p: Params, windows, count: int, rate: float) -> Params:
+    """One update for each of the ``count`` windows (inputs, targets, whether the state starts empty)."""
+    p = {k: v.copy() for k, v in p.items()}
     mean = {k: np.zeros_like(v) for k, v in p.items()}
     var = {k: np.zeros_like(v) for k, v in p.items()}
-    for i in range(1, windows + 1):
-        x, y = streams.window()
+    for i, (x, y, empty) in enumerate(windows, 1):
+        if empty:
+            h = np.zeros((x.shape[1], HIDDEN), np.float32)
         _, grads, h = gradients(p, x, y, h)
-        now = rate * min(1.0, i / 20) * (1 - 0.9 * i / windows)
+        now = rate * min(1.0, i / 20) * (1 - 0.9 * i / count)
         for k, g in grads.items():
             g = np.clip(g / x.size, -0.05, 0.05)
             mean[k] += 0.1 * (g - mean[k])

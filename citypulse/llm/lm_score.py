@@ -3,10 +3,10 @@
 1. Word counts of all training texts (whole corpus), combined per task first.
 2. The ``HEAD`` most frequent words and the totals by word shape are read back:
    both are bounded. Rarer words stay in the counts table and are joined.
-3. The model (:mod:`citypulse.llm.gru`) starts from the corpus counts, is
-   trained on a bounded sample of training texts (``WARM_TOKENS``), then on one
-   in ``REFINE`` of all training texts: every task trains on its own share and
-   the parameters are averaged by the number of tokens.
+3. The model (:mod:`citypulse.llm.gru`) starts from the corpus counts and a bounded
+   sample of training texts (``WARM_TOKENS``, drawn by id and text together), and is
+   then trained on all training texts: every task trains on all of its own texts, each
+   symbol once, and the parameters are averaged by the number of tokens.
 4. One pass scores every whole text and sends on the rarer words of each row;
    a join with the counts adds their logarithms.
 
@@ -37,8 +37,8 @@ from citypulse.llm.common import fold, lower_words, saved
 HEAD = 1 << 16
 #: The first training sample: expected number of texts, bound on its tokens, updates made on it.
 WARM_TEXTS, WARM_TOKENS, WARM_WINDOWS = 1000, 400_000, 700
-#: One in so many training texts takes part in the second training, in every task.
-REFINE = 48
+#: Tokens that a task holds and trains on at a time, one such part after another.
+PART_TOKENS = 2_000_000
 #: Distinct words that a counting task holds before it sends them on.
 HELD_WORDS = 400_000
 HELD_OUT_MOD = 10
@@ -135,32 +135,39 @@ def vocabulary(train: DataFrame, counts: DataFrame) -> Vocabulary:
 
 
 def fitted(train: DataFrame, vocab: Vocabulary) -> gru.Params:
-    """Model parameters: a bounded first sample, then shares of every task averaged.
-    The sample is drawn by a hash of the id and holds ``WARM_TOKENS`` tokens at most."""
+    """Model parameters: a start from a bounded sample, then all training texts, trained on
+    by every task and averaged. The sample is drawn by a hash of id and text, at a rate that
+    expects ``WARM_TOKENS`` tokens at most; the text that goes beyond is cut there."""
     params = gru.initial(*vocab.start)
     spark = train.sparkSession
-    rate = min(1.0, WARM_TEXTS / max(1, vocab.ends))
-    drawn = train.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) < int(rate * (1 << 30))))
+    if not vocab.ends:
+        return params
+    rate = min(1.0, WARM_TEXTS / vocab.ends, WARM_TOKENS / vocab.tokens)
+    drawn = train.where(F.col("text").isNotNull() & (F.pmod(F.xxhash64("id", "text", F.lit(11)), F.lit(1 << 30)) < int(rate * (1 << 30))))
     sample, size = [], 0
     for row in drawn.select("text").toLocalIterator():
         symbols, _, _ = vocab.encode(lower_words(row["text"]))
-        if size + len(symbols) > WARM_TOKENS:
-            continue
-        sample.append(symbols)
-        size += len(symbols)
-    params = gru.train(params, sample, WARM_WINDOWS if sample else 0)
-    if not sample:
-        return params
+        sample.append(symbols[:WARM_TOKENS - size])
+        size += len(sample[-1])
+        if size == WARM_TOKENS:
+            break
+    params = gru.train(params, sample, WARM_WINDOWS)
     shared = spark.sparkContext.broadcast((vocab, gru.pack(params)))
 
     def share(batches):
         vocab, raw = shared.value
         like = gru.initial(*vocab.start)
-        texts = [vocab.encode(lower_words(t.as_py()))[0] for b in batches for t in b.column(0)]
-        n = sum(map(len, texts))
-        width = max(1, min(64, len(texts)))
-        new = gru.train(gru.unpack(raw, like), texts, n // (width * gru.STEPS), width, rate=1e-3)
-        if n >= width * gru.STEPS:
+        new, n = gru.unpack(raw, like), 0
+        texts, size = [], 0
+        for batch in batches:
+            for text in batch.column(0):
+                texts.append(vocab.encode(lower_words(text.as_py()))[0].astype(np.int16))
+                size += len(texts[-1])
+                if size >= PART_TOKENS:
+                    new, n = gru.train_whole(new, texts), n + size
+                    texts, size = [], 0
+        new, n = gru.train_whole(new, texts), n + size
+        if n:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([TaskContext.get().partitionId() % 16]), pa.array([float(n)]), pa.array([gru.pack(new)])],
                 names=["k", "n", "params"])
@@ -172,9 +179,7 @@ def fitted(train: DataFrame, vocab: Vocabulary) -> gru.Params:
             total += weight * np.frombuffer(table.column("params")[k].as_py(), dtype=np.float32)
         return pa.table({"n": [float(n.sum())], "params": [total.tobytes()]})
 
-    # texts drawn by hash and dealt evenly, so that no task holds more than its share
-    part = (train.where(F.pmod(F.xxhash64("id", F.lit(12)), F.lit(REFINE)) == 0).select("text")
-            .mapInArrow(share, "k long, n double, params binary"))
+    part = train.select("text").mapInArrow(share, "k long, n double, params binary")
     means = part.groupBy("k").applyInArrow(summed, "n double, params binary").collect()
     if not means:
         return params

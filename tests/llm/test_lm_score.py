@@ -88,3 +88,27 @@ def test_edge_rows(spark):
     assert {r["n_tokens"] for r in rows} == {1, 60_001, 3}
     assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
     assert lm_score.lm_scores(df.limit(0)).collect() == []
+
+
+def test_whole_training_sees_every_symbol_once(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [np.append(rng.integers(0, gru.START, n), gru.END).astype(np.int16) for n in (0, 5, 900, 17, 3000, 1, 40)]
+    seen, plain = Counter(), gru.gradients
+
+    def counted(p, x, y, h):
+        seen.update(zip(x.ravel().tolist(), y.ravel().tolist()))
+        return plain(p, x, y, h)
+
+    monkeypatch.setattr(gru, "gradients", counted)
+    p = gru.initial(np.ones(gru.FREQUENT), np.ones(gru.SHAPES))
+    trained = gru.train_whole(p, texts, width=16)
+    assert seen == Counter(pair for t in texts for pair in zip([gru.START, *t.tolist()], t.tolist()))
+    assert all(np.isfinite(v).all() for v in trained.values())
+
+
+def test_every_training_text_trains_the_model_whatever_its_id(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "WARM_TOKENS", 50)
+    df = spark.createDataFrame([(None, f"only{i} and word{i % 7}") for i in range(300)], "id long, text string")
+    vocab = lm_score.vocabulary(df, lm_score.word_counts(df.select("text")))
+    moved = (lm_score.fitted(df, vocab)["X"] != gru.initial(*vocab.start)["X"]).any(axis=1)
+    assert moved[:len(vocab.index)].all() and moved[gru.START]
