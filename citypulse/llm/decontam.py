@@ -7,9 +7,8 @@ white space and ASCII punctuation).
 
 *Index.* Items fall into length classes. From every offset of an item at which
 an item-sized walk still fits, the walk is taken ``tables`` times and ``SAMPLED``
-of its outputs are hashed into a key. The number of tables follows from
-``recall``: the chance that one table finds a copy with ``DESIGN_RATIO`` edits is
-measured on seeded edits of the items themselves.
+of its outputs are hashed into a key. Tables are added until, in every class, a share
+``recall`` of seeded copies of the items with ``DESIGN_RATIO`` edits is met by at least one.
 
 *Query.* Every document walks from every ``STRIDE``-th of its own words, and for
 classes whose items may hold fewer offsets than that (under 9 words) from every
@@ -128,9 +127,9 @@ class Walks:
 
     def __init__(self, lows: list[int], tables: int, seed: int = 5):
         self.lows, self.tables, self.seed = sorted(lows), tables, seed
-        rng = np.random.default_rng(seed)
-        self.samples = [{low: np.sort(rng.choice(low, min(SAMPLED, low), replace=False)) for low in self.lows}
-                        for _ in range(tables)]
+        # a table's samples depend on nothing else, so tables keep what was measured on them
+        self.samples = [{low: np.sort(np.random.default_rng((seed, table, low)).choice(low, min(SAMPLED, low), replace=False))
+                         for low in self.lows} for table in range(tables)]
 
     def keys(self, words: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
         """(table, class, key of each start ``at``): one walk serves all classes. ``words`` are
@@ -192,12 +191,14 @@ class Index:
         return one
 
     def _tables(self, groups: dict[int, list[int]], recall: float) -> int:
-        """Tables needed so that a copy with ``DESIGN_RATIO`` edits is met with chance ``recall``
-        in the class where that is hardest, as measured with four tables."""
+        """Tables needed so that a share ``recall`` of the seeded copies with ``DESIGN_RATIO`` edits is
+        met by one of them at least, in the class where that is hardest."""
         rng = np.random.default_rng(23)
         need = 1
         for low, members in groups.items():
-            picked = [members[i % len(members)] for i in range(max(200, len(members)))][:400]
+            picked = [members[i % len(members)] for i in range(max(200, len(members)))]
+            if len(picked) > 400:
+                picked = rng.choice(picked, 400, replace=False).tolist()
             copies = []
             for k in picked:
                 w = list(self.items[k][1])
@@ -207,16 +208,19 @@ class Index:
                     w[i:i + 1] = [[new], [], [w[i], new]][kind]
                 around = rng.integers(1, 1 << 62, int(rng.integers(STRIDE)) + STRIDE, dtype=np.uint64)
                 copies.append(np.array([*around[STRIDE:], *w, *around[:STRIDE]], dtype=np.uint64))
-            probe = Index([self.items[k] for k in dict.fromkeys(picked)], recall, self.max_ratio, tables=4)
-            names = {id(self.items[k][1]): k for k in picked}
-            own = [names[id(w)] for _, w in probe.items]
             words, first = self._joined(copies)
-            met = np.zeros((4, len(picked)), dtype=bool)
-            for table, c, at, item, _ in probe.candidates(words, first):
-                of = np.searchsorted(first, at, side="right") - 1
-                met[table, of[np.array(own)[item] == np.array(picked)[of]]] = True
-            p = min(max(met.mean(), 0.05), 1 - 1e-9)
-            need = max(need, math.ceil(math.log(1 - recall) / math.log(1 - p)))
+            own = list(dict.fromkeys(picked))
+            tables, wanted = 4, max(1, math.ceil(min(recall, 1) * len(picked)))
+            while True:
+                probe = Index([self.items[k] for k in own], recall, self.max_ratio, tables=tables)
+                met_by = np.full(len(picked), tables)
+                for table, c, at, item, _ in probe.candidates(words, first):
+                    of = np.searchsorted(first, at, side="right") - 1
+                    np.minimum.at(met_by, of[np.array(own)[item] == np.array(picked)[of]], table)
+                if (met_by < tables).sum() >= wanted:
+                    break
+                tables *= 2
+            need = max(need, int(np.sort(met_by)[wanted - 1]) + 1)
         return need
 
     def candidates(self, words: np.ndarray, first: np.ndarray):

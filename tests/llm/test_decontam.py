@@ -118,3 +118,23 @@ def test_verdict_does_not_depend_on_neighbours():
     assert any(alone) and not all(alone)
     assert decontam.found_items(index, texts) == alone
     assert decontam.found_items(index, [b"a b c", *texts[::-1]])[:0:-1] == alone
+
+
+def test_tables_reach_the_recall_at_the_design_ratio():
+    rng = np.random.default_rng(12)
+    items = [(k, rng.integers(1, 1 << 62, 9 + k % 4, dtype=np.uint64)) for k in range(60)]
+    index = decontam.Index(items, 0.99, 0.2)
+    copies = []
+    for k in range(1200):
+        w = list(items[k % 60][1])
+        for _ in range(int(0.2 * len(w))):
+            i, kind, new = int(rng.integers(len(w))), int(rng.integers(3)), np.uint64(rng.integers(1, 1 << 62))
+            w[i:i + 1] = [[new], [], [w[i], new]][kind]
+        pad = rng.integers(1, 1 << 62, 4 + int(rng.integers(4)), dtype=np.uint64)
+        copies.append(np.array([*pad[4:], *w, *pad[:4]], dtype=np.uint64))
+    words, first = decontam.spaced(np.concatenate(copies), np.cumsum([0, *map(len, copies)]))
+    met = np.zeros(len(copies), dtype=bool)
+    for _, _, at, item, _ in index.candidates(words, first):
+        of = np.searchsorted(first, at, side="right") - 1
+        met[of[item == of % 60]] = True
+    assert met.mean() >= 0.98, (met.mean(), index.tables)
