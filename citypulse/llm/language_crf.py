@@ -10,7 +10,7 @@ Forward-backward over *all* words of a text gives each word's label
 probabilities; the text's language has the largest mean, which is its score.
 
 The fit sees about ``FIT_TEXTS`` texts of each language, drawn by a hash of the
-id; the prediction covers all rows and whole texts. A text that is null or has
+id, and of each at most ``FIT_WORDS`` words in a row; the prediction covers all rows and whole texts. A text that is null or has
 no letter is ``und`` with score 0, as is every text if nothing could be learned.
 Repeated rows and null ids are predicted row by row.
 """
