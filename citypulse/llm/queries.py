@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citypulse.llm import decontam, html_extract, language_crf, line_rules, lm_score, mixing, rule_ensemble, simhash, spelling, suffix_dedup, warc_fixity
+from citypulse.llm import alignment, decontam, html_extract, language_crf, line_rules, lm_score, mixing, rule_ensemble, simhash, spelling, suffix_dedup, warc_fixity
 from citypulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ ORACLES["op9_warc_fixity"] = warc_fixity.ORACLE_SQL
 @query
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.query(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), "doc_id", "text")
