@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citypulse.llm import alignment, decontam, html_extract, language_crf, line_rules, lm_score, mixing, rule_ensemble, simhash, spelling, suffix_dedup, warc_fixity
+from citypulse.llm import alignment, decontam, html_extract, language_crf, line_rules, lm_score, minhash, mixing, rule_ensemble, simhash, spelling, suffix_dedup, warc_fixity
 from citypulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+@query
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_classes(table(spark, sf_dir, "documents"), "doc_id", "text", shingle=2)
+
+
+ORACLES["op13_minhash"] = minhash.ORACLE_SQL
