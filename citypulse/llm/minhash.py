@@ -279,9 +279,9 @@ def minhash_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 ORACLE_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                                   '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
 sets AS (
-  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), i -> w[i] || ' ' || w[i + 1])) END AS s FROM words),
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words),
 sizes AS (SELECT doc_id, len(s) AS n FROM sets),
 shingles AS (SELECT doc_id, hash(unnest(s)) AS g FROM sets),
 common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
