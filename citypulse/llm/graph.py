@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,3 +54,22 @@ def _star(tree: DataFrame, larger_only: bool) -> DataFrame:
         linked = (near.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
                   .union(least.select(F.col("u"), F.col("m"))))
     return _ordered(linked)
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node it reaches) over the links a-b of one task, without the roots:
+    as many rows as nodes, whatever the number of links."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    i, j = at[:len(a)], at[len(a):]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[i], label[j])
+        new = label.copy()
+        for k in (i, j, label[i], label[j]):
+            np.minimum.at(new, k, least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    moved = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[moved], nodes[label[moved]]

@@ -10,11 +10,13 @@
    so that values of very common shingles are hardly ever looked at.
 3. ``hub_pairs``: each list's first set against the others of the list, a row a
    posting. Linked sets are joined into classes, which settles lists of near copies.
-4. ``rest_pairs``: lists that still hold several classes are merged in blocks:
+4. ``rest_pairs``: lists that still hold several classes are merged in chunks:
    sets outside the first set's class against all sets of the list. Pairs inside
-   one class, of sizes that rule a link out, or with too few agreeing coordinates
-   among the first ones are skipped; only pairs with enough agreements are sent on.
-5. ``linked``: the whole sets of each pair decide (100 * intersection >= 80 * union).
+   one class, of sizes that rule a link out, met in a rarer list, or with too few
+   agreeing coordinates among the first ones are skipped; pairs with enough
+   agreements are sent on, packed by chunk.
+5. ``linked``, ``linked_within``: the whole sets of each pair decide (100 * intersection
+   >= 80 * union). A chunk's sets meet once, and it sends on a spanning set of its links.
 
 No list is capped and none has all its pairs emitted. A pair at the similarity
 of 0.8 agrees in fewer than 58 of 96 coordinates with a chance of 3e-6 (less
@@ -36,22 +38,23 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from citypulse.llm.common import lower_words, pieces, saved
-from citypulse.llm.graph import components
+from citypulse.llm.graph import components, spanning
 
 COORDINATES = 96
 MATCHES = 58
 SEED = 42
-#: Sets of one list that are merged with others at a time.
-CHUNK = 1 << 10
+#: Shingles (and coordinates) of the sets of one list that are merged with others at a time.
+CHUNK = 1 << 20
 #: Distinct words a task remembers the hashes of, and shingles that are signed at a time.
 HELD_WORDS, BLOCK = 1 << 19, 1 << 10
 #: Pairs compared at a time.
-PAIRS = 1 << 17
+PAIRS = 1 << 16
 
 _random = np.random.default_rng(SEED)
 FACTORS = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -119,14 +122,17 @@ def signed(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame
 
 
 def prefix_postings(sets: DataFrame) -> DataFrame:
-    """(coord, sid): each set under its rarest coordinate-value pairs that others may share."""
+    """(coord, sid, before): each set under its rarest coordinate-value pairs that others may share;
+    ``before``: the coordinates of the rarer ones it is posted under."""
     posted = sets.select("sid", F.posexplode("sig").alias("at", "value")).select(
         "sid", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("coord"))
     often = posted.groupBy("coord").agg(F.count("*").alias("often")).where("often > 1")
     kept = (posted.join(often, "coord").groupBy("sid").agg(F.collect_list(F.struct("often", "coord")).alias("own"))
             .where(F.size("own") >= MATCHES))
     first = F.slice(F.sort_array("own"), F.lit(1), F.size("own") - (MATCHES - 1))
-    return kept.select("sid", F.explode(first).alias("one")).select(F.col("one.coord").alias("coord"), "sid")
+    at = F.transform("own", lambda x: F.shiftright(x["coord"], 32).cast("byte"))
+    return (kept.select("sid", first.alias("own")).withColumn("at", at).select("sid", "at", F.posexplode("own").alias("k", "one"))
+            .select(F.col("one.coord").alias("coord"), "sid", F.slice("at", F.lit(1), F.col("k")).alias("before")))
 
 
 def hub_pairs(posted: DataFrame) -> DataFrame:
@@ -150,64 +156,86 @@ def _sizes_allow(x, y):
 
 
 def rest_pairs(posted: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): pairs of lists' sets in different classes that agree in enough coordinates.
-
-    The class of a list's first set is its main class; ``other`` sets are outside it.
-    Both are dealt in chunks: every set meets every chunk of others, each others' set every chunk of all."""
-    told = posted.join(classes, "sid", "left").select("coord", "sid", F.coalesce("root", "sid").alias("root"))
-    main = (told.groupBy("coord").agg(F.min(F.struct("sid", "root")).alias("hub"), F.count("*").alias("many"))
-            .select("coord", F.col("hub.root").alias("main"), "many").where("many > 1"))
-    marked = told.join(main, "coord").withColumn("other", F.col("root") != F.col("main"))
-    mixed_lists = marked.groupBy("coord").agg(F.count_if("other").alias("others")).where("others > 0")
-    low = F.transform("sig", lambda x: (x.bitwiseAND(0xFF) - 128).cast("byte"))  # one byte is enough to count
-    rows = (saved(marked.join(mixed_lists, "coord"), "minhash-lists")
-            .join(sets.select("sid", "n", low.alias("sig")), "sid"))
-    n_all, n_other = F.ceil(F.col("many") / CHUNK), F.ceil(F.col("others") / CHUNK)
+    """(pairs, sids): pairs of lists' sets in different classes that agree in enough coordinates, packed
+    (two longs a pair), and the sets they name. A pair is found in the first list that both share.
+
+    The class of a list's first set is its main class; ``other`` sets are outside it. Both are dealt
+    in chunks of bounded size: every set meets every chunk of others, each other set every chunk of all."""
+    told = posted.join(classes, "sid", "left").join(sets.select("sid", "n", "sig"), "sid").withColumn("root", F.coalesce("root", "sid"))
+    told = saved(told, "minhash-told")
+    size = F.sum(F.col("n") + COORDINATES)
+    main = (told.groupBy("coord").agg(F.min(F.struct("sid", "root")).alias("hub"), F.count("*").alias("many"), size.alias("all"))
+            .select("coord", F.col("hub.root").alias("main"), "many", "all").where("many > 1"))
+    marked = told.select("coord", "sid", "root", "n").join(main, "coord").withColumn("other", F.col("root") != F.col("main"))
+    mixed_lists = marked.where("other").groupBy("coord", "main", "all").agg(size.alias("others"))
+    rows = told.join(mixed_lists, "coord").withColumn("other", F.col("root") != F.col("main"))
+    n_all, n_other = F.ceil(F.col("all") / CHUNK), F.ceil(F.col("others") / CHUNK)
     spot = F.xxhash64("sid")
-    as_any = rows.select("coord", F.pmod(spot, n_all).alias("i"), F.explode(F.sequence(F.lit(0), n_other - 1)).alias("j"), F.lit(False).alias("second"), "sid", "root", "other", "n", "sig")
-    as_other = rows.where("other").select("coord", F.explode(F.sequence(F.lit(0), n_all - 1)).alias("i"), F.pmod(spot, n_other).alias("j"), F.lit(True).alias("second"), "sid", "root", "other", "n", "sig")
+    kept = ["sid", "root", "other", "n", "sig", "before"]
+    as_any = rows.select("coord", F.pmod(spot, n_all).alias("i"), F.explode(F.sequence(F.lit(0), n_other - 1)).alias("j"), F.lit(False).alias("second"), *kept)
+    as_other = rows.where("other").select("coord", F.explode(F.sequence(F.lit(0), n_all - 1)).alias("i"), F.pmod(spot, n_other).alias("j"), F.lit(True).alias("second"), *kept)
     dealt = as_any.unionByName(as_other).repartition("coord", "i", "j").sortWithinPartitions("coord", "i", "j", "second")
 
     def run(batches):
-        rest = None
+        rest, pairs, held = None, [], 0
+
+        def sent():
+            both = np.concatenate(pairs)
+            sids = np.unique(both)
+            return pa.RecordBatch.from_arrays([pa.array([both.tobytes()], pa.binary()), pa.array([sids], pa.list_(pa.int64()))], names=["pairs", "sids"])
         for batch in batches:
-            rest = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            rest = pa.concat_tables([*([] if rest is None else [rest]), pa.Table.from_batches([batch])])
             group = [rest.column(c).to_numpy() for c in ("coord", "i", "j")]
             before = np.logical_or.reduce([g != g[-1] for g in group]) if len(rest) else np.zeros(0, bool)
             last = int(before.sum())  # the last group may go on in the next batch
-            if last:
-                yield from merged(rest.slice(0, last))
-                rest = rest.slice(last).combine_chunks()
-        if rest is not None and len(rest):
-            yield from merged(rest)
-
-    def merged(t: pa.Table):
-        group = [t.column(c).to_numpy() for c in ("coord", "i", "j")]
-        sid, root, n = (t.column(c).to_numpy() for c in ("sid", "root", "n"))
-        other, second = (t.column(c).to_numpy(zero_copy_only=False) for c in ("other", "second"))
-        sig = t.column("sig").combine_chunks()
-        sig = (sig.chunk(0) if isinstance(sig, pa.ChunkedArray) else sig).flatten().to_numpy().reshape(len(t), -1)
-        new = np.concatenate(([True], np.logical_or.reduce([g[1:] != g[:-1] for g in group])))
-        start = np.flatnonzero(new)
-        stop = np.concatenate((start[1:], [len(t)]))
-        seconds = np.add.reduceat(second.astype(np.int64), start)
-        mid = stop - seconds  # rows of a group: any sets, then others
-        for k in np.flatnonzero((seconds > 0) & (mid > start)).tolist():
-            wide = max(1, PAIRS // int(seconds[k]))
-            for at in range(int(start[k]), int(mid[k]), wide):
-                x, y = np.meshgrid(np.arange(at, min(at + wide, int(mid[k]))), np.arange(int(mid[k]), int(stop[k])), indexing="ij")
-                x, y = x.ravel(), y.ravel()
-                ok = (root[x] != root[y]) & (~other[x] | (sid[x] < sid[y])) & _sizes_allow(n[x], n[y])
-                x, y = x[ok], y[ok]
-                half = COORDINATES // 2  # of the first half, at most so many may differ
-                agree = (sig[x, :half] == sig[y, :half]).sum(axis=1)
-                ok = agree >= MATCHES - (COORDINATES - half)
-                x, y, agree = x[ok], y[ok], agree[ok]
-                ok = agree + (sig[x, half:] == sig[y, half:]).sum(axis=1) >= MATCHES
-                if ok.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(sid[x[ok]]), pa.array(sid[y[ok]])], names=["a", "b"])
-
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+            for found, size in _agreeing(rest.slice(0, last)):
+                pairs.append(found)
+                held += size
+                if held >= CHUNK:
+                    yield sent()
+                    pairs, held = [], 0
+            rest = rest.slice(last).combine_chunks()
+        for found, _ in _agreeing(rest) if rest is not None else ():
+            pairs.append(found)
+        if pairs:
+            yield sent()
+
+    return dealt.mapInArrow(run, "pairs binary, sids array<long>")
+
+
+def _agreeing(t: pa.Table):
+    """Of each group of rows: blocks of its agreeing pairs (n x 2), with what their sets weigh."""
+    if not len(t):
+        return
+    group = [t.column(c).to_numpy() for c in ("coord", "i", "j")]
+    sid, root, n = (t.column(c).to_numpy() for c in ("sid", "root", "n"))
+    other, second = (t.column(c).to_numpy(zero_copy_only=False) for c in ("other", "second"))
+    sig = t.column("sig").combine_chunks().flatten().to_numpy().reshape(len(t), COORDINATES)
+    before = t.column("before").combine_chunks()
+    earlier = np.zeros((len(t), COORDINATES), dtype=bool)
+    earlier[np.repeat(np.arange(len(t)), before.value_lengths().to_numpy()), before.flatten().to_numpy()] = True
+    new = np.concatenate(([True], np.logical_or.reduce([g[1:] != g[:-1] for g in group])))
+    start = np.flatnonzero(new)
+    stop = np.concatenate((start[1:], [len(t)]))
+    seconds = np.add.reduceat(second.astype(np.int64), start)
+    mid = stop - seconds  # rows of a group: any sets, then others
+    for k in np.flatnonzero((seconds > 0) & (mid > start)).tolist():
+        wide = max(1, PAIRS // int(seconds[k]))
+        weight = int((n[start[k]:stop[k]] + COORDINATES).sum())
+        for at in range(int(start[k]), int(mid[k]), wide):
+            x, y = np.meshgrid(np.arange(at, min(at + wide, int(mid[k]))), np.arange(int(mid[k]), int(stop[k])), indexing="ij")
+            x, y = x.ravel(), y.ravel()
+            ok = (root[x] != root[y]) & (~other[x] | (sid[x] < sid[y])) & _sizes_allow(n[x], n[y])
+            x, y = x[ok], y[ok]
+            half = COORDINATES // 2  # of the first half, at most so many may differ
+            agree = (sig[x, :half] == sig[y, :half]).sum(axis=1)
+            ok = agree >= MATCHES - (COORDINATES - half)
+            x, y = x[ok], y[ok]
+            same = sig[x] == sig[y]
+            ok = (same.sum(axis=1) >= MATCHES) & ~(same & earlier[x]).any(axis=1)  # not met in a rarer list
+            if ok.any():
+                yield np.stack((sid[x[ok]], sid[y[ok]]), axis=1), weight
+                weight = 0
 
 
 def whole_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -243,6 +271,55 @@ def linked(pairs: DataFrame, found: DataFrame, percent: int = 80) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def linked_within(packed: DataFrame, found: DataFrame, percent: int = 80) -> DataFrame:
+    """(a, b): of each row of ``packed`` (pairs, sids) a spanning set of the pairs that are similar enough.
+
+    A row's sets meet in one group; it is bounded like the chunks that the pairs come from."""
+    blocks = saved(packed.withColumn("block", F.monotonically_increasing_id()), "minhash-rest")
+    none = F.lit(None)
+    sets = blocks.select("block", F.explode("sids").alias("sid")).join(found, "sid").select("block", "sid", "found", none.cast("binary").alias("pairs"))
+    asked = blocks.select("block", none.cast("long").alias("sid"), none.cast("binary").alias("found"), "pairs")
+
+    def run(group: pa.Table) -> pa.Table:
+        given = group.filter(pc.is_valid(group.column("pairs"))).column("pairs")[0].as_py()
+        group = group.filter(pc.is_valid(group.column("sid"))).sort_by("sid")
+        sids = group.column("sid").to_numpy()
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("found")]
+        pairs = np.searchsorted(sids, np.frombuffer(given, np.int64).reshape(-1, 2))
+        good = similar(sets, pairs, percent)
+        a, b = spanning(sids[pairs[good, 0]], sids[pairs[good, 1]])
+        return pa.table({"a": a, "b": b})
+
+    return sets.unionByName(asked).groupBy("block").applyInArrow(run, "a long, b long")
+
+
+def similar(sets: list[np.ndarray], pairs: np.ndarray, percent: int, at_once: int = 1 << 22) -> np.ndarray:
+    """Positions of the pairs (positions of two sets) whose intersection is at least ``percent`` of the union.
+
+    One set at a time is marked among all shingles of the group, and its partners' marks are added up."""
+    size = np.array([len(s) for s in sets])
+    names, local = np.unique(np.concatenate(sets), return_inverse=True) if sets else (np.zeros(0), np.zeros(0, np.int64))
+    begin = np.cumsum(size) - size
+    mark = np.zeros(len(names), dtype=bool)
+    order = np.argsort(pairs[:, 0], kind="stable")
+    bounds = np.flatnonzero(np.concatenate(([True], np.diff(pairs[order, 0]) != 0, [True]))) if len(order) else np.zeros(1, np.int64)
+    good = []
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        a = pairs[order[lo], 0]
+        own = local[begin[a]:begin[a] + size[a]]
+        mark[own] = True
+        step = max(1, at_once // max(1, int(size[pairs[order[lo:hi], 1]].max())))
+        for first in range(lo, hi, step):
+            some = order[first:min(hi, first + step)]
+            b = pairs[some, 1]
+            ends = np.cumsum(size[b])
+            rows = np.repeat(begin[b] - (ends - size[b]), size[b]) + np.arange(ends[-1])
+            shared = np.add.reduceat(mark[local[rows]].astype(np.int64), ends - size[b])
+            good.append(some[100 * shared >= percent * (size[a] + size[b] - shared)])
+        mark[own] = False
+    return np.concatenate(good) if good else np.zeros(0, np.int64)
+
+
 def minhash_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2) -> DataFrame:
     """(id_col, n_shingles, component_id, kept) of every row of ``df``."""
     marked = saved(signed(df, id_col, text_col, shingle), "minhash-signed")
@@ -251,14 +328,15 @@ def minhash_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                  .withColumn("sid", F.monotonically_increasing_id()), "minhash-sets")
     posted = saved(prefix_postings(sets), "minhash-posted")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = saved(pairs, "minhash-pairs")
-        wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct().join(sets.select("sid", "least", "key"), "sid")
-        return saved(linked(pairs, saved(whole_sets(df, id_col, text_col, wanted, shingle), "minhash-whole")), "minhash-links")
+    def whole(sids: DataFrame) -> DataFrame:
+        wanted = sids.distinct().join(sets.select("sid", "least", "key"), "sid")
+        return saved(whole_sets(df, id_col, text_col, wanted, shingle), "minhash-whole")
 
-    links = verified(enough_matches(hub_pairs(posted), sets))
+    near = saved(enough_matches(hub_pairs(posted), sets), "minhash-hubs")
+    links = saved(linked(near, whole(near.select(F.col("a").alias("sid")).union(near.select("b")))), "minhash-links")
     first = saved(components(links).withColumnsRenamed({"node": "sid"}), "minhash-first")
-    more = verified(rest_pairs(posted, sets, first))
+    rest = saved(rest_pairs(posted, sets, first), "minhash-pairs")
+    more = saved(linked_within(rest, whole(rest.select(F.explode("sids").alias("sid")))), "minhash-links")
     # classes of classes: links between the first classes' roots
     roots = first.select("sid", "root")
     ends = (more.join(roots.withColumnsRenamed({"sid": "a", "root": "ra"}), "a", "left")

@@ -57,7 +57,7 @@ def family(rng, size, near, words=60):
     return out
 
 
-@pytest.mark.parametrize("chunk,batch", [(1 << 10, "10000"), (4, "9")])
+@pytest.mark.parametrize("chunk,batch", [(1 << 20, "10000"), (700, "9")])
 def test_classes_equal_all_pairs(spark, monkeypatch, chunk, batch):
     """Families of near copies, exact copies, chains, and lists merged in small chunks."""
     monkeypatch.setattr(minhash, "CHUNK", chunk)
