@@ -8,21 +8,23 @@ catalog passes smaller ones where a local benchmark has to stay short.
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citypulse import contract as C
-from citypulse.operators import evaluate, features, sampling
+from citypulse.operators import boosting, evaluate, features, sampling
 from citypulse.operators.describe import area_profile
-from citypulse.session import scratch_path
+from citypulse.session import scratch_path, stored
 
 #: Level of rare values; starts with a control character, so no plain value equals it.
 INFREQUENT = "\u0001infrequent"
@@ -150,7 +152,10 @@ def _fit(name: str, train: DataFrame, target: str, levels: dict, **kw) -> Fitted
         model = pipe.fit(prepared)
     finally:
         cached.unpersist()
-    return FittedClassifier(name, target, model)
+    # as saved and loaded: without the training summary, which keeps the session (and what it observes) in the scoring closures
+    path = scratch_path(train.sparkSession, f"ml-model-{name}")
+    model.write().save(path)
+    return FittedClassifier(name, target, PipelineModel.load(path))
 
 
 def train_logreg(train: DataFrame, target: str, levels: dict | None = None, **kw) -> FittedClassifier:
@@ -206,13 +211,6 @@ def per_class_report() -> list:
             share(tn, tn + fn).alias("precision_0"), share(tn, tn + fp).alias("recall_0"), (tn + fp).alias("support_0")]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: row-level tables that several jobs read."""
-    path = scratch_path(df.sparkSession, f"ml-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 # --- area archetypes ----------------------------------------------------------
 
 def kmeans_area_archetypes(daily: DataFrame, k: int = 4, n_init: int = 10, seed: int = C.SEED) -> DataFrame:
@@ -240,94 +238,96 @@ def kmeans_area_archetypes(daily: DataFrame, k: int = 4, n_init: int = 10, seed:
 
 # --- panel forecasters ----------------------------------------------------------
 
-SENTINEL = -1.0
-
-
-def _assembled(df: DataFrame, feats) -> DataFrame:
-    filled = df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(SENTINEL)) for c in feats})
-    return VectorAssembler(inputCols=list(feats), outputCol="features").transform(filled)
-
-
-def _gbt_regressor(max_iter: int, max_bins: int) -> GBTRegressor:
-    return GBTRegressor(labelCol="crimes", featuresCol="features", maxIter=max_iter, stepSize=0.05,
-                        maxDepth=6, maxBins=max_bins, validationIndicatorCol="__is_val",
-                        validationTol=0.0, seed=C.SEED)
-
-
 def _forecast_fit(p: DataFrame, feats, test_n: int, val_n: int, unit_days: int, naive: str,
-                  max_iter: int):
+                  max_iter: int, patience: int | None, **params):
     codes = sampling.area_code_map(p)
     p = p.join(F.broadcast(codes), "area_id")
-    p = sampling.forward_chained_split(p, test_n, val_n, unit_days=unit_days)
-    data = _assembled(p, feats).withColumn("__is_val", F.col("split") == "val")
-    n_areas = codes.count()
-    fit_rows, _, cached = sized_for_training(data.where(F.col("split") != "test"))
-    try:
-        model = _gbt_regressor(max_iter, max(32, n_areas + 1)).fit(fit_rows)
-    finally:
-        cached.unpersist()
+    data = stored(sampling.forward_chained_split(p, test_n, val_n, unit_days=unit_days), "forecast")
+    # areas are a nominal feature; one code more stands for areas unknown to the fit
+    model = boosting.fit_boosted(data.where(F.col("split") != "test").withColumn("__is_val", F.col("split") == "val"), "crimes", "__is_val", feats,
+                                 {"area_code": codes.count() + 1}, max_iter, patience, **params)
     test = model.transform(data.where(F.col("split") == "test"))
-    preds = test.select("date", "area_id", "area_code", "area_name", F.col("crimes").alias("y_true"),
-                        F.greatest(F.col("prediction"), F.lit(0.0)).alias("y_pred"),
-                        F.col(naive).alias("naive"))
+    preds = stored(test.select("date", "area_id", "area_code", "area_name", F.col("crimes").alias("y_true"),
+                               F.greatest(F.col("prediction"), F.lit(0.0)).alias("y_pred"),
+                               F.col(naive).alias("naive")), "forecast-test")
     metrics = evaluate.regression_metrics(preds, "y_true", "y_pred", "naive")
     span = preds.agg(F.min("date").alias("test_start"), F.max("date").alias("test_end"))
-    metrics = metrics.crossJoin(span)
-    return model, codes, metrics, preds.drop("naive"), data
+    metrics = metrics.crossJoin(span).withColumns({"rounds": F.lit(len(model.errors)), "best_round": F.lit(model.best)})
+    return model, codes, metrics, preds.drop("naive")
 
 
 def train_daily_forecaster(panel: DataFrame, horizon_days: int = 28, test_days: int = 60,
-                           val_days: int = 60, max_iter: int = 1500, feats=C.DAILY_FORECAST_FEATURES):
-    """Global boosted-tree forecaster over the daily area panel.
+                           val_days: int = 60, max_iter: int = 1500, feats=C.DAILY_FORECAST_FEATURES,
+                           patience: int | None = 60, **params):
+    """Global boosted-tree forecaster over the daily area panel (see :mod:`citypulse.operators.boosting`):
+    at most ``max_iter`` rounds, stopped when the validation error has not fallen for ``patience``.
 
     Returns (model, area code map, metrics, test predictions). ``horizon_days``
     is recorded in the metrics only.
     """
     p = features.add_lag_features(panel).dropna(subset=["lag_28", "roll_mean_28", "adow_mean"])
-    model, codes, metrics, preds, data = _forecast_fit(p, feats, test_days, val_days, 1, "roll_mean_28", max_iter)
+    model, codes, metrics, preds = _forecast_fit(p, feats, test_days, val_days, 1, "roll_mean_28", max_iter, patience, **params)
     metrics = metrics.withColumn("horizon_days", F.lit(horizon_days))
     return model, codes, metrics, preds
 
 
 def train_weekly_forecaster(weekly: DataFrame, test_weeks: int = 8, val_weeks: int = 8,
-                            max_iter: int = 1500, feats=C.WEEKLY_FORECAST_FEATURES):
+                            max_iter: int = 1500, feats=C.WEEKLY_FORECAST_FEATURES, patience: int | None = 60, **params):
     p = features.weekly_lag_features(weekly).dropna(subset=["lag_8", "roll_mean_12"])
-    model, codes, metrics, preds, data = _forecast_fit(p, feats, test_weeks, val_weeks, 7, "roll_mean_4", max_iter)
+    model, codes, metrics, preds = _forecast_fit(p, feats, test_weeks, val_weeks, 7, "roll_mean_4", max_iter, patience, **params)
     metrics = metrics.withColumn("horizon_days", F.lit(7 * test_weeks))
     return model, codes, metrics, preds
 
 
-def forecast_next_period(panel: DataFrame, model, codes: DataFrame, horizon_days: int = 7,
-                         feats=C.DAILY_FORECAST_FEATURES, history_days: int = 90) -> DataFrame:
+def _next_features(values: np.ndarray, day, code: int, feats) -> list[float]:
+    """Features of ``day`` after the ``values`` of the days before it (missing: NaN)."""
+    def feature(name: str) -> float:
+        kind, _, n = name.rpartition("_")
+        if kind == "lag":
+            return values[-int(n)] if len(values) >= int(n) else np.nan
+        if kind in ("roll_mean", "roll_std"):
+            last = values[-int(n):]
+            if len(last) < int(n) or np.isnan(last).any():
+                return np.nan
+            return last.mean() if kind == "roll_mean" else last.std(ddof=1)
+        dow = day.weekday()
+        return float({"dow": dow, "month": day.month, "year": day.year, "doy": day.timetuple().tm_yday, "weekofyear": day.isocalendar()[1],
+                      "is_weekend": int(dow >= 5), "area_code": code}[name])
+    return [feature(f) for f in feats]
+
+
+def forecast_next_period(panel: DataFrame, model: boosting.BoostedTrees, codes: DataFrame, horizon_days: int = 7,
+                         history_days: int = 90) -> DataFrame:
     """Recursive h-step forecast: each day's clipped prediction becomes history
     for the next day's lags and rolling windows.
 
-    Only the trailing ``history_days`` days per area are kept (the longest
-    window), so each step works on a bounded frame; an expanding feature would
-    need all history and is refused. Every step's result is checkpointed to the
-    shared checkpoint folder to cut lineage.
+    One job, whatever the horizon: an area's state is the last ``history_days``
+    days (the longest window), and the recursion runs over it in one group per
+    area; the group's size is that of the history, not of the incidents. An
+    expanding feature would need all history and is refused. An area too short
+    to train on gets a forecast under a code that no other area has.
     """
+    feats = list(model.features)
     if "adow_mean" in feats:
         raise ValueError("adow_mean is a mean over all history; forecast_next_period keeps only the last days")
-    from citypulse.operators.spatial import _checkpoint
     last = panel.agg(F.max("date").alias("__last"))
-    hist = (panel.crossJoin(F.broadcast(last))
-            .where(F.col("date") > F.date_sub("__last", history_days))
-            .select("date", "area_id", "area_name", F.col("crimes").cast("double").alias("crimes")))
-    hist = _checkpoint(hist)
-    areas = hist.select("area_id", "area_name").distinct()
-    outs = None
-    for step in range(1, horizon_days + 1):
-        target = last.select(F.date_add("__last", step).alias("date"))
-        placeholder = areas.crossJoin(F.broadcast(target)).withColumn("crimes", F.lit(None).cast("double"))
-        h = sampling.union_history(hist, placeholder)
-        f = features.add_lag_features(h).join(target, "date", "left_semi")
-        # an area too short to train on still gets a forecast, under a code of no other area
-        f = f.join(F.broadcast(codes), "area_id", "left").withColumn("area_code", F.coalesce("area_code", F.lit(-1)))
-        pred = model.transform(_assembled(f, feats)).select(
-            "date", "area_id", "area_name", F.greatest(F.col("prediction"), F.lit(0.0)).alias("y_pred"))
-        pred = _checkpoint(pred)
-        outs = pred if outs is None else outs.unionByName(pred)
-        hist = _checkpoint(sampling.union_history(hist, pred.select("date", "area_id", "area_name",
-                                                                    F.col("y_pred").alias("crimes"))))
-    return outs
+    unknown = codes.agg((F.coalesce(F.max("area_code"), F.lit(-1)) + 1).cast("int").alias("__unknown"))
+    hist = (panel.crossJoin(F.broadcast(last)).where(F.col("date") > F.date_sub("__last", history_days))
+            .join(codes, "area_id", "left").crossJoin(F.broadcast(unknown))
+            .select("date", "area_id", "area_name", F.col("crimes").cast("double").alias("crimes"), "__last",
+                    F.coalesce("area_code", "__unknown").alias("area_code")))
+    shared = panel.sparkSession.sparkContext.broadcast(model)
+    types = dict(panel.dtypes)
+
+    def run(group):
+        group = group.sort_values("date")
+        values, first = group["crimes"].to_numpy(), group.iloc[0]
+        days = [first["__last"] + datetime.timedelta(days=k) for k in range(1, horizon_days + 1)]
+        for day in days:
+            x = np.array([_next_features(values, day, first["area_code"], feats)])
+            values = np.append(values, max(shared.value.predict(x)[0], 0.0))
+        return pd.DataFrame({"date": days, "area_id": first["area_id"], "area_name": first["area_name"], "y_pred": values[len(values) - len(days):]})
+
+    # an area id has one name in a panel; areas are told apart by both, as in the panel's key
+    return hist.groupBy("area_id", "area_name").applyInPandas(
+        run, f"date date, area_id {types['area_id']}, area_name {types['area_name']}, y_pred double")

@@ -63,3 +63,10 @@ def materialize(df):
     Written to the shared checkpoint folder; survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df, name: str):
+    """``df`` as a Parquet table in the shared folder: tables that several jobs read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
