@@ -121,10 +121,3 @@ def safe_ratio(num, den) -> Column:
     """num / den with 0 when the denominator is 0 or null."""
     return F.coalesce(F.try_divide(col_or(num).cast("double"), col_or(den).cast("double")),
                       F.lit(0.0))
-
-
-def value_range(v, steps: int = 256):
-    """A whole number that never falls as ``v`` grows: log-spaced ranges, ``steps`` for
-    each doubling of the size, symmetric around 0 and fixed in advance."""
-    size = F.floor((F.log2(F.abs(v)) + 1100) * steps)
-    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("long")

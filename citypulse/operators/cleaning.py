@@ -7,11 +7,13 @@ can prune columns and push filters into the Parquet/CSV reader.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citypulse import contract as C
 from citypulse.functions import scalar as X
+from citypulse.operators.sampling import union_history
+from citypulse.session import stored
 
 
 # -- single-step operators ----------------------------------------------------
@@ -95,17 +97,20 @@ def flag_weapon_used(df: DataFrame) -> DataFrame:
     return df.withColumn("weapon_used", F.col("weapon_code").isNotNull().cast("int"))
 
 
-def drop_undated(df: DataFrame, observation: Observation | None = None) -> DataFrame:
-    """Drop rows without ``date_occurred``.
-
-    The caller's ``observation`` gets the dropped count (``observation.get["dropped"]``)
-    as a side metric of the first job over the result, without a scan of its own.
-    """
-    if observation is not None:
-        df = df.observe(observation, F.count_if(F.col("date_occurred").isNull()).alias("dropped"))
+def drop_undated(df: DataFrame) -> DataFrame:
+    """Drop rows without ``date_occurred``; :func:`undated_counts` counts them."""
     return df.where(F.col("date_occurred").isNotNull())
 
 
+def undated_counts(df: DataFrame, by=()) -> DataFrame:
+    """(kept, dropped): rows with and without ``date_occurred``, overall or by columns.
+
+    A plain aggregate over one column (a Parquet scan reads nothing else, a CSV scan parses
+    nothing else), so that nothing is left behind in the session."""
+    undated = F.col("date_occurred").isNull()
+    return df.groupBy(*by).agg(F.count_if(~undated).alias("kept"), F.count_if(undated).alias("dropped"))
+
+
 # -- composite ------------------------------------------------------------------
 
 def clean_incidents(raw: DataFrame, bbox: dict | None = None,
@@ -147,38 +152,59 @@ def clean_incidents(raw: DataFrame, bbox: dict | None = None,
 
 # -- incident features --------------------------------------------------------
 
-def medians(df: DataFrame, cols) -> DataFrame:
-    """One row: the exact, interpolated median of every column (``__med_<column>``).
+#: Distinct values that one task may put in order, and ranges that a wider interval is cut into.
+ORDERED_VALUES, MEDIAN_BINS = 10_000, 1024
 
-    Values are counted per value (combined in the tasks); totals of log-spaced value
-    ranges, a bounded table, tell the range in which the middle lies, and only the
-    distinct values of that range are ordered.
+
+def medians(df: DataFrame, cols) -> dict[str, float | None]:
+    """The exact, interpolated median of every column (None: no values; NaN counts as missing).
+
+    Values are counted per value once (combined in the tasks) and stored. The interval that
+    holds a middle rank is then cut into ranges of equal width, whose totals tell the range of
+    the rank, and narrowed to the smallest and largest value seen in it, until it holds no more
+    than ``ORDERED_VALUES`` distinct values. A pass is one job over the values still inside and
+    sends ``MEDIAN_BINS`` totals a search to the driver.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols])
-    counts = (df.select(F.inline(pairs)).where(F.col("v").isNotNull()).groupBy("c", "v")
-              .agg(F.count(F.lit(1)).alias("n")).withColumn("r", X.value_range(F.col("v"))))
-    upto = Window.partitionBy("c").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("c")
-    middle = (counts.groupBy("c", "r").agg(F.sum("n").alias("in_range"))
-              .withColumns({"before": F.coalesce(F.sum("in_range").over(upto), F.lit(0)), "total": F.sum("in_range").over(whole)})
-              .withColumns({"low": F.expr("(total + 1) div 2"), "high": F.expr("(total + 2) div 2")})
-              .where((F.col("before") < F.col("high")) & (F.col("before") + F.col("in_range") >= F.col("low"))))
-    inside = Window.partitionBy("c", "r").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (counts.join(middle.select("c", "r", "before", "low", "high"), ["c", "r"])
-              .withColumn("last", F.col("before") + F.sum("n").over(inside)).withColumn("first", F.col("last") - F.col("n") + 1))
-    at = {k: F.when((F.col("first") <= F.col(k)) & (F.col("last") >= F.col(k)), F.col("v")) for k in ("low", "high")}
-    return placed.agg(*[(F.max(F.when(F.col("c") == c, at["low"])) * 0.5 + F.max(F.when(F.col("c") == c, at["high"])) * 0.5)
-                        .alias(f"__med_{c}") for c in cols])
+    counts = stored(df.select(F.inline(pairs)).where(F.col("v").isNotNull() & ~F.isnan("v")).groupBy("c", "v")
+                    .agg(F.count(F.lit(1)).alias("n")), "median-counts")
+    whole = counts.groupBy("c").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("values"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+    searches = [{"id": f"{r['c']}:{k}", "c": r["c"], "rank": (r["total"] + k) // 2, "lo": r["lo"], "hi": r["hi"], "values": r["values"]} for r in whole for k in (1, 2)]
+    while wide := [s for s in searches if s["values"] > ORDERED_VALUES]:
+        for s in wide:
+            rank = s["rank"]
+            for b in bins_of(counts, s):
+                if rank <= b["n"]:
+                    s |= {"rank": rank, "lo": b["lo"], "hi": b["hi"], "values": b["values"]}
+                    break
+                rank -= b["n"]
+    upto = Window.partitionBy("id").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    found = {}
+    if searches:
+        inside = [counts.where((F.col("c") == s["c"]) & F.col("v").between(s["lo"], s["hi"])).select(F.lit(s["id"]).alias("id"), F.lit(s["rank"]).alias("rank"), "v", "n") for s in searches]
+        placed = union_history(*inside).withColumn("last", F.sum("n").over(upto)).where((F.col("last") >= F.col("rank")) & (F.col("last") - F.col("n") < F.col("rank")))
+        found = {r["id"]: r["v"] for r in placed.select("id", "v").collect()}
+    return {c: found[f"{c}:1"] * 0.5 + found[f"{c}:2"] * 0.5 if f"{c}:1" in found else None for c in cols}
+
+
+def bins_of(counts: DataFrame, search: dict) -> list:
+    """Totals, distinct values and ends of the ranges of a search's interval, in order.
+
+    Halved ends keep the width finite; infinite values have ranges of their own."""
+    inside = counts.where((F.col("c") == search["c"]) & F.col("v").between(search["lo"], search["hi"]))
+    finite = F.abs("v") < float("inf")
+    ends = inside.agg(F.min(F.when(finite, F.col("v"))).alias("a"), F.max(F.when(finite, F.col("v"))).alias("b")).first()
+    a, b = (ends["a"] or 0.0) / 2, (ends["b"] or 0.0) / 2
+    place = F.least(F.floor((F.col("v") / 2 - a) / ((b - a) or 1.0) * MEDIAN_BINS), F.lit(MEDIAN_BINS - 1))
+    at = F.when(F.col("v") == float("-inf"), -1).when(F.col("v") == float("inf"), MEDIAN_BINS).otherwise(place)
+    return (inside.groupBy(at.alias("bin")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("values"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+            .orderBy("bin").collect())
 
 
 def impute_median(df: DataFrame, cols=("victim_age", "lat", "lon")) -> DataFrame:
-    """Fill nulls with the column's global median (exact, interpolated; see :func:`medians`).
-
-    The medians are one aggregate row, cross-joined (broadcast, 1 row) back.
-    """
-    joined = df.crossJoin(F.broadcast(medians(df, cols)))
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"__med_{c}")) for c in cols}
-    return joined.withColumns(filled).drop(*[f"__med_{c}" for c in cols])
+    """Fill nulls with the column's global median (exact, interpolated; see :func:`medians`)."""
+    middle = medians(df, cols)
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(middle[c]).cast("double")) for c in cols})
 
 
 def clip_report_lag(df: DataFrame, lo: int = 0, hi: int = 365) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citypulse import contract as C
+from citypulse.session import stored
 
 
 def hash_key(key_cols, seed: int = C.SEED):
@@ -128,3 +129,19 @@ def area_code_map(df: DataFrame, id_col: str = "area_id", out: str = "area_code"
     """
     ids = df.where(F.col(id_col).isNotNull()).select(id_col).distinct()
     return ids.withColumn(out, (F.dense_rank().over(Window.orderBy(id_col)) - 1).cast("int"))
+
+
+def row_numbers(df: DataFrame, order, out: str = "number") -> DataFrame:
+    """0-based positions of the rows in the order of the columns ``order`` (ties: any order).
+
+    Rows are dealt in ranges of that order and stored; each range numbers its own rows, and
+    the sizes of the ranges before it (one row a range) are added. No window holds all rows.
+    """
+    order = [order] if isinstance(order, str) else list(order)
+    dealt = stored(df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id()), "row-numbers")
+    sizes = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("__range", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+    own = Window.partitionBy("__range").orderBy(*order)
+    return (dealt.withColumn("__own", F.row_number().over(own)).join(F.broadcast(before), "__range")
+            .withColumn(out, F.col("__before") + F.col("__own") - 1).drop("__range", "__own", "__before"))

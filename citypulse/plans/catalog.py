@@ -41,10 +41,5 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def load_all() -> None:
     """Import the query modules so their ``register`` calls run."""
     import importlib
-    for mod in ("q_sources", "q_cleaning", "q_panels", "q_describe", "q_windows",
-                "q_spatial", "q_sampling", "q_models"):
-        try:
-            importlib.import_module(f"citypulse.plans.{mod}")
-        except ModuleNotFoundError as exc:
-            if exc.name != f"citypulse.plans.{mod}":
-                raise
+    for mod in ("q_sources", "q_cleaning", "q_panels", "q_describe", "q_windows", "q_spatial", "q_models"):
+        importlib.import_module(f"citypulse.plans.{mod}")

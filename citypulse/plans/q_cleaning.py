@@ -8,6 +8,7 @@ from citypulse.operators import cleaning
 from citypulse.plans import common
 from citypulse.plans.catalog import register, rounded
 from citypulse.plans.oracle_sql import BASE, RAW, RENAMED, with_ctes
+from citypulse.sources import fixtures
 
 R = [RAW, RENAMED]
 
@@ -22,14 +23,24 @@ def q_rename_columns(spark, sf):
     return rounded(common.renamed_fresh(spark, sf))
 
 
-@register("parse_timestamps", _sql(
-    'SELECT "DR_NO" AS dr_no, try_strptime("Date Rptd", \'%m/%d/%Y %I:%M:%S %p\') AS date_reported, '
-    'try_strptime("DATE OCC", \'%m/%d/%Y %I:%M:%S %p\') AS date_occurred FROM raw', [RAW]))
+BAD_RAW = """
+bad_raw AS (
+  SELECT "DR_NO", "Date Rptd", CASE WHEN "DR_NO" % 97 = 0 THEN NULL WHEN "DR_NO" % 89 = 0 THEN 'unknown' ELSE "DATE OCC" END AS "DATE OCC" FROM raw
+),
+dated AS (
+  SELECT "DR_NO" AS dr_no, try_strptime("Date Rptd", '%m/%d/%Y %I:%M:%S %p') AS date_reported,
+         try_strptime("DATE OCC", '%m/%d/%Y %I:%M:%S %p') AS date_occurred FROM bad_raw
+)"""
+
+
+def _bad_dated(spark, sf):
+    r = fixtures.bad_dates(common.raw(spark, sf))
+    return cleaning.parse_timestamps(cleaning.rename_columns(r))
+
+
+@register("parse_timestamps", _sql("SELECT dr_no, date_reported, date_occurred FROM dated", [RAW, BAD_RAW]))
 def q_parse_timestamps(spark, sf):
-    r = common.raw(spark, sf).select(
-        F.col("DR_NO").alias("dr_no"), F.col("Date Rptd").alias("date_reported"),
-        F.col("DATE OCC").alias("date_occurred"))
-    return cleaning.parse_timestamps(r)
+    return _bad_dated(spark, sf).select("dr_no", "date_reported", "date_occurred")
 
 
 @register("hour_from_hhmm", _sql(
@@ -110,12 +121,13 @@ def q_flag_weapon_used(spark, sf):
 
 
 @register("drop_undated", _sql(
-    "SELECT count(*) AS kept_rows, count(DISTINCT dr_no) AS kept_ids FROM renamed "
-    "WHERE date_occurred IS NOT NULL", R))
+    "SELECT count(date_occurred) AS kept_rows, count(DISTINCT dr_no) FILTER (WHERE date_occurred IS NOT NULL) AS kept_ids, "
+    "count(date_occurred) AS kept, count(*) - count(date_occurred) AS dropped FROM dated", [RAW, BAD_RAW]))
 def q_drop_undated(spark, sf):
-    kept = cleaning.drop_undated(common.renamed_fresh(spark, sf))
-    return kept.agg(F.count(F.lit(1)).alias("kept_rows"),
-                    F.count_distinct("dr_no").alias("kept_ids"))
+    """The kept rows, counted, beside the counts that the operator reports."""
+    dated = _bad_dated(spark, sf)
+    kept = cleaning.drop_undated(dated).agg(F.count(F.lit(1)).alias("kept_rows"), F.count_distinct("dr_no").alias("kept_ids"))
+    return kept.crossJoin(cleaning.undated_counts(dated))
 
 
 @register("clean_incidents", _sql(

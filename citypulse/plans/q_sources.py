@@ -29,6 +29,20 @@ def q_scan_incidents_csv(spark, sf):
     return rounded(files.scan_incidents_csv(spark, _csv_copy(spark, sf)))
 
 
+@register("scan_incidents_rejects", with_ctes(RAW, body="""
+SELECT "column", CAST(count(*) AS BIGINT) AS rejected FROM (
+  SELECT 'TIME OCC' AS "column" FROM raw WHERE "DR_NO" % 101 = 0 UNION ALL
+  SELECT 'Vict Age' FROM raw WHERE "DR_NO" % 103 = 0 UNION ALL
+  SELECT 'LAT' FROM raw WHERE "DR_NO" % 107 = 0 UNION ALL
+  SELECT 'AREA' FROM raw WHERE "DR_NO" % 109 = 0) GROUP BY 1"""))
+def q_scan_incidents_rejects(spark, sf):
+    """Values of a CSV copy that are no numbers of their column, by column."""
+    path = scratch_path(spark, "raw-csv-bad")
+    (fixtures.bad_numbers(fixtures.raw_incidents(spark, sf)).write.mode("overwrite")
+     .option("header", True).option("quote", '"').option("escape", '"').csv(path))
+    return files.rejected_counts(files.scan_incidents_checked(spark, path))
+
+
 @register("read_through_parquet", with_ctes(RAW, body=RAW_ROUNDED))
 def q_read_through_parquet(spark, sf):
     csv = _csv_copy(spark, sf)

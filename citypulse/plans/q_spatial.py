@@ -58,6 +58,15 @@ def q_radius_neighbors(spark, sf):
     return spatial.radius_neighbor_counts(fixtures.points(spark, sf), EPS_KM)
 
 
+PAIR_EPS_KM = 0.5
+
+
+@register("radius_neighbor_pairs", _rec(
+    f"SELECT a.dr_no AS key_a, b.dr_no AS key_b, round({HAV}, 6) AS dist_km FROM pts a JOIN pts b ON {HAV} <= {PAIR_EPS_KM}", [PTS]))
+def q_radius_neighbor_pairs(spark, sf):
+    return rounded(spatial.radius_neighbors(fixtures.points(spark, sf), PAIR_EPS_KM))
+
+
 @register("dbscan_hotspots", _rec("SELECT dr_no, cluster, core FROM lab", [PTS, DBSCAN]))
 def q_dbscan_hotspots(spark, sf):
     out = spatial.dbscan_hotspots(fixtures.points(spark, sf), eps_km=EPS_KM, min_samples=MIN_SAMPLES)

@@ -79,6 +79,21 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bad_dates(raw: DataFrame) -> DataFrame:
+    """Fixture A with some occurrence dates missing and some that are no dates."""
+    k = F.col("DR_NO")
+    return raw.withColumn("DATE OCC", F.when(k % 97 == 0, F.lit(None)).when(k % 89 == 0, "unknown").otherwise(F.col("DATE OCC")))
+
+
+def bad_numbers(raw: DataFrame) -> DataFrame:
+    """Fixture A as text, some of its numbers misspelt."""
+    k = F.col("DR_NO")
+    planted = {"TIME OCC": (101, "noon"), "Vict Age": (103, "3O"), "LAT": (107, "north"), "AREA": (109, "12.5")}
+    cols = [F.when(k % planted[c][0] == 0, planted[c][1]).otherwise(F.col(f"`{c}`").cast("string")).alias(c) if c in planted
+            else F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns]
+    return raw.select(*cols)
+
+
 def thin_tail(clean: DataFrame, keep_until: str = "2001-09-20") -> DataFrame:
     """Fixture B: thin the most recent weeks so the tail trim fires."""
     return clean.where((F.col("date_occurred") <= F.lit(keep_until).cast("timestamp_ntz"))

@@ -96,14 +96,10 @@ def test_missing_table_and_overview_on_empty(spark):
     assert k.crimes == 0 and k.violent_pct == 0.0 and k.areas == 0
 
 
-def test_drop_undated_reports_what_it_drops(spark):
-    import datetime as dt
-
-    from pyspark.sql import Observation
-
-    from citypulse.operators import cleaning
-    rows = [(1, dt.datetime(2024, 1, 1)), (2, None), (3, None)]
-    seen = Observation("undated")
-    kept = cleaning.drop_undated(spark.createDataFrame(rows, "dr_no long, date_occurred timestamp"), seen)
-    assert [r.dr_no for r in kept.collect()] == [1]
-    assert seen.get["dropped"] == 2
+def test_undated_rows_are_dropped_and_counted(spark):
+    rows = [(1, "a", dt.datetime(2024, 1, 1)), (2, "a", None), (3, "b", None)]
+    df = spark.createDataFrame(rows, "dr_no long, area_name string, date_occurred timestamp")
+    assert [r.dr_no for r in cleaning.drop_undated(df).collect()] == [1]
+    assert tuple(cleaning.undated_counts(df).first()) == (1, 2)
+    assert {tuple(r) for r in cleaning.undated_counts(df, ["area_name"]).collect()} == {("a", 1, 1), ("b", 0, 1)}
+    assert tuple(cleaning.undated_counts(df.where("false")).first()) == (0, 0)

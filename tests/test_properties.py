@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,6 +178,103 @@ def test_medians_against_numpy(spark):
     for n in (1, 2, 7, 500, 501):
         cols = {"a": rng.standard_normal(n) * 10.0 ** rng.integers(-3, 4, n), "b": np.round(rng.random(n) * 4 - 2), "c": np.full(n, 34.05)}
         rows = [tuple(float(cols[k][i]) for k in "abc") for i in range(n)] + [(None, None, None)] * 3
-        got = cleaning.medians(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"]).first()
+        got = cleaning.medians(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"])
         for k in "abc":
-            assert got[f"__med_{k}"] == pytest.approx(np.median(cols[k]), abs=1e-12)
+            assert got[k] == pytest.approx(np.median(cols[k]), abs=1e-12)
+
+
+@pytest.mark.parametrize("ordered", [1, 40])
+def test_medians_narrow_to_few_values(spark, monkeypatch, ordered):
+    """Packed values, outliers of any size, ties, infinities, no values, NaN."""
+    from citypulse.operators import cleaning
+    monkeypatch.setattr(cleaning, "ORDERED_VALUES", ordered)
+    monkeypatch.setattr(cleaning, "MEDIAN_BINS", 8)
+    rng = np.random.default_rng(4)
+    packed = -118.5 + rng.random(1501) * 1e-6
+    wild = np.concatenate([rng.random(1498), [1e300, -1e300, 1e-300]])
+    ends = np.concatenate([np.full(600, np.inf), np.full(601, -np.inf), rng.integers(0, 3, 300)])
+    rows = [(float(a), float(b), float(c), None) for a, b, c in zip(packed, wild, ends)] + [(float("nan"), None, None, None)]
+    got = cleaning.medians(spark.createDataFrame(rows, "a double, b double, c double, d double"), ["a", "b", "c", "d"])
+    assert (got["a"], got["b"], got["c"], got["d"]) == (np.median(packed), np.median(wild), np.median(ends), None)
+    filled = cleaning.impute_median(spark.createDataFrame([(None, 1.0)], "a double, b double"), ("a", "b")).first()
+    assert filled.a is None and filled.b == 1.0
+
+
+def test_median_of_a_million_values_in_one_degree_orders_few(spark):
+    """A column with a million distinct values: the last step orders no more than ORDERED_VALUES."""
+    from citypulse.operators import cleaning
+    df = spark.range(1_000_001).select((F.lit(-118.5) + F.pmod(F.col("id") * 7919, F.lit(1_000_001)) / 1e6).alias("lon"))
+    counts = df.groupBy(F.lit("lon").alias("c"), F.col("lon").alias("v")).count().withColumnRenamed("count", "n")
+    first = cleaning.bins_of(counts, {"c": "lon", "lo": -118.5, "hi": -117.5})
+    assert len(first) == cleaning.MEDIAN_BINS and max(b["values"] for b in first) < cleaning.ORDERED_VALUES
+    assert cleaning.medians(df, ["lon"])["lon"] == -118.5 + 500_000 / 1e6
+
+
+def test_ranking_metrics_split_packed_scores(spark, monkeypatch):
+    """All scores within one 1/256 doubling, and ties: several ranges, the same exact result."""
+    rng = np.random.default_rng(9)
+    s = 0.5 + np.round(rng.random(4000) * 1e-3, 7)
+    y = rng.integers(0, 2, len(s))
+    df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, prob double")
+    whole = evaluate.ranking_metrics(df, "y", "prob").first()
+    monkeypatch.setattr(evaluate, "RANGE_SCORES", 300)
+    table = evaluate.cumulative_below(evaluate.score_table(df, "y", "prob"))
+    plan = table._jdf.queryExecution().analyzed().toString()
+    assert "__bucket" in plan
+    parts = evaluate.ranking_metrics(df, "y", "prob").first()
+    assert parts.roc_auc == pytest.approx(whole.roc_auc, abs=1e-12) and parts.pr_auc == pytest.approx(whole.pr_auc, abs=1e-12)
+    pos, neg = s[y == 1], s[y == 0]
+    auc = ((pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()) / (len(pos) * len(neg))
+    assert parts.roc_auc == pytest.approx(auc, abs=1e-12)
+    sizes = evaluate.score_ranges(evaluate.score_table(df, "y", "prob"), 300).groupBy("__bucket").count().collect()
+    assert len(sizes) > 5 and max(r["count"] for r in sizes) < 600
+
+
+def test_crowded_cells_are_linked_without_all_pairs(spark):
+    """10^5 distinct locations in each of two neighbouring cells: once out of reach of each other, once
+    with one pair that links them. All pairs would be 10^10 distances."""
+    rng = np.random.default_rng(6)
+    n, eps = 100_000, 1.0
+    s_lat = spatial._spec(spark.createDataFrame([(34.0, -118.0)], "lat double, lon double"), eps)["s_lat"]
+    base = np.floor(34.0 / s_lat) * s_lat
+    west = np.stack([base + rng.random(n) * s_lat * 0.99, -118.0 - rng.random(n) * 1e-3], 1)
+    east = np.stack([base + rng.random(n) * s_lat * 0.99, -117.985 + rng.random(n) * 1e-3], 1)  # some 1.3 km further
+    lat, lon = np.concatenate((west, east)).T
+    assert len(np.unique(lat)) == 2 * n
+
+    def clusters(lat, lon):
+        df = spark.createDataFrame(pd.DataFrame({"dr_no": np.arange(len(lat)), "lat": lat, "lon": lon}))
+        got = spatial.dbscan_hotspots(df, eps, 5).groupBy("cluster").count().collect()
+        return sorted((r["cluster"], r["count"]) for r in got)
+
+    assert clusters(lat, lon) == [(0, n), (1, n)]
+    # a chain of few crowded steps closes the gap
+    more_lon = np.linspace(-117.999, -117.985, 4).repeat(10) + np.tile(np.arange(10) * 1e-7, 4)
+    more_lat = np.full(40, base + s_lat / 2)
+    assert clusters(np.concatenate((lat, more_lat)), np.concatenate((lon, more_lon))) == [(0, 2 * n + 40)]
+
+
+@pytest.mark.parametrize("direct", [0, 3])
+def test_dbscan_splits_boxes_down_to_points(spark, monkeypatch, direct):
+    """With next to no direct comparisons every decision comes from splitting boxes."""
+    monkeypatch.setattr(spatial, "DIRECT_PAIRS", direct)
+    rng = np.random.default_rng(3)
+    lat = 34 + np.round(rng.normal(0, 0.01, 300), 4)
+    lon = -118 + np.round(rng.normal(0, 0.01, 300), 4)
+    df = spark.createDataFrame(pd.DataFrame({"dr_no": np.arange(300), "lat": lat, "lon": lon}))
+    for eps, least in ((0.3, 5), (0.5, 12)):
+        got = {r.dr_no: r.cluster for r in spatial.dbscan_hotspots(df, eps, least).collect()}
+        assert got == _dbscan_brute(np.arange(300), lat, lon, eps, least)
+        assert -1 in got.values() and max(got.values()) >= 0
+
+
+def test_dbscan_without_locations(spark):
+    df = spark.createDataFrame([(1, None, None)], "dr_no long, lat double, lon double")
+    assert spatial.dbscan_hotspots(df, 1.0, 2).count() == 0
+
+
+def test_row_numbers_are_dense_and_in_order(spark):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("k"))
+    rows = sampling.row_numbers(df, "k").orderBy("number").collect()
+    assert [r["number"] for r in rows] == list(range(5000)) and [r["k"] for r in rows] == sorted(r["k"] for r in rows)
+    assert sampling.row_numbers(df.where("false"), "k").count() == 0
