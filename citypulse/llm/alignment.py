@@ -49,10 +49,14 @@ TOKENIZERS = "/opt/tokenizers"
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_DOCS = 1 << 12
 BLOCK_BYTES = 4 << 20
-#: Distinct pieces of texts a task remembers.
-HELD_PIECES = 300_000
+#: Distinct pieces of texts a task remembers, and characters that are joined to be encoded.
+HELD_PIECES, JOINED_CHARS = 400_000, 1 << 15
 B_BITS, SLOT_BITS = 25, 12
 SPACE = "▁"
+# Fixed value: where byte-level vocabularies cut texts before they merge.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters below (Latin scripts, marks) are classed alike by all versions of Unicode.
+PLAIN_END = "\u0370"
 #: A space between two characters that are no white space.
 BETWEEN = re.compile(r" (?=\S)(?<=\S )")
 
@@ -70,6 +74,7 @@ class Encoder:
     def __init__(self, a_file: bytes, b_file: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from sentencepiece import SentencePieceProcessor
+        from tiktoken import Encoding
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_str(a_file.decode())
@@ -83,18 +88,41 @@ class Encoder:
         self.b_bytes = [bytes([int(x[3:5], 16)]) if self.b.is_byte(k) else x.replace(SPACE, " ").encode() for k, x in enumerate(names)]
         self.a_size, self.b_size = (np.array([len(x) for x in table], dtype=np.int64) for table in (self.a_bytes, self.b_bytes))
         self.a_text, self.b_text = ([str(k) for k in range(len(table))] for table in (self.a_bytes, self.b_bytes))
+        self.marked = [x + m for table, marks in ((self.a_text, ",|"), (self.b_text, ",;")) for x in table for m in marks]
         spec = json.loads(a_file)
         first = spec["pre_tokenizer"] or {}
         self.cuts = (first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
                      and not spec["normalizer"] and not any(SPACE in x.lstrip(SPACE) for x in names))
 
+        # where ids follow the order of the merges, a faster library gives the same tokens
+        pairs = [x.split(" ") if isinstance(x, str) else x for x in spec["model"]["merges"]]
+        vocab = spec["model"]["vocab"]
+        ordered = self.cuts and all(vocab["".join(x)] == 256 + k for k, x in enumerate(pairs)) and len(pairs) + 256 == len(vocab)
+        self.merges = Encoding("a", pat_str=PATTERN, mergeable_ranks={self.a_bytes[k]: k for k in vocab.values()}, special_tokens={}) if ordered else None
+
     def parts(self, text: str) -> list[str]:
         """Pieces of a text that can be encoded alone, without the space before each."""
         return BETWEEN.split(text) if self.cuts else [text]
 
-    def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = self.a.encode_batch_fast([" " + x for x in parts], add_special_tokens=False)
-        return [x.ids for x in a], self.b.encode(parts, num_threads=1)
+    def encode(self, parts: list[str]) -> tuple[np.ndarray, list[list[int]]]:
+        """A ids of all parts one after another, B ids of each. Plain parts (see :data:`PLAIN_END`)
+        without white space at their ends are joined by single spaces for A, which cuts there again."""
+        strings, run, size = [], [], 0  # (text, plain)
+        for x in parts:
+            alone = not self.cuts or x[0].isspace() or x[-1].isspace() or max(x) >= PLAIN_END
+            if run and (alone or size > JOINED_CHARS):
+                strings.append((" " + " ".join(run), True))
+                run, size = [], 0
+            if alone:
+                strings.append((" " + x, False))
+            else:
+                run.append(x)
+                size += len(x)
+        if run:
+            strings.append((" " + " ".join(run), True))
+        rest = iter(self.a.encode_batch_fast([x for x, plain in strings if not (plain and self.merges)], add_special_tokens=False))
+        a = [np.array(self.merges.encode_ordinary(x) if plain and self.merges else next(rest).ids, dtype=np.int64) for x, plain in strings]
+        return np.concatenate([np.zeros(0, np.int64), *a]), self.b.encode(parts, num_threads=1)
 
 
 @dataclass
@@ -109,28 +137,46 @@ class Aligned:
     groups: list[bytes]
 
 
+def _steps(ends: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """How many of ``ends`` lie up to each of ``stops`` and beyond the one before."""
+    return np.diff(np.concatenate(([0], np.searchsorted(ends, stops, side="right"))))
+
+
 def align_parts(enc: Encoder, parts: list[str]) -> Aligned:
-    ids_a, ids_b = enc.encode(parts)
+    a, ids_b = enc.encode(parts)
     raw = [b" " + x.encode("utf-8", "replace") for x in parts]
-    good = np.ones(len(parts), dtype=bool)
-    for ids, table in ((ids_a, enc.a_bytes), (ids_b, enc.b_bytes)):
-        good &= np.fromiter((b"".join([table[k] for k in x]) == r for x, r in zip(ids, raw)), bool, len(parts))
-    for k in np.flatnonzero(~good).tolist():
-        ids_a[k], ids_b[k], raw[k] = [], [], b""
-    n_a, n_b, size = (np.fromiter(map(len, x), np.int64, len(parts)) for x in (ids_a, ids_b, raw))
-    a, b = (np.fromiter(chain.from_iterable(x), np.int64, n) for x, n in ((ids_a, n_a.sum()), (ids_b, n_b.sum())))
-    end_a, end_b = np.cumsum(enc.a_size[a]), np.cumsum(enc.b_size[b])  # good pieces have equal bytes on both sides
-    ends = np.union1d(end_a, end_b)  # the bytes between two ends lie in one A and one B token: one link
-    pairs = a[np.searchsorted(end_a, ends)] << B_BITS | b[np.searchsorted(end_b, ends)] if len(ends) else np.zeros(0, np.int64)
-    part_end = np.cumsum(size)
-    n_links = np.diff(np.concatenate(([0], np.searchsorted(ends, part_end, side="right"))))
-    cuts = np.intersect1d(end_a, end_b)
-    n_groups = np.diff(np.concatenate(([0], np.searchsorted(cuts, part_end, side="right"))))
-    text_a, text_b = [enc.a_text[k] for k in a.tolist()], [enc.b_text[k] for k in b.tolist()]
-    at_a, at_b = ((np.searchsorted(e, cuts) + 1).tolist() for e in (end_a, end_b))
-    named = [",".join(text_a[i:j]) + "|" + ",".join(text_b[k:m]) for i, j, k, m in zip([0, *at_a], at_a, [0, *at_b], at_b)]
-    stops = np.cumsum(n_groups).tolist()
-    groups = [";".join(named[i:j]).encode() for i, j in zip([0, *stops], stops)]
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    n_b = np.fromiter(map(len, ids_b), np.int64, len(ids_b))
+    b = np.fromiter(chain.from_iterable(ids_b), np.int64, n_b.sum())
+    # A gives back every byte; a piece whose B tokens do not has no tokens
+    bytes_b = np.concatenate(([0], np.cumsum(enc.b_size[b])))[np.concatenate(([0], np.cumsum(n_b)))]
+    joined = b"".join([enc.b_bytes[k] for k in b.tolist()])
+    good = np.diff(bytes_b) == size
+    if joined != b"".join(raw):
+        good &= np.fromiter((joined[i:j] == r for i, j, r in zip(bytes_b[:-1].tolist(), bytes_b[1:].tolist(), raw)), bool, len(raw))
+    end_a, part_end = np.cumsum(enc.a_size[a]), np.cumsum(size)
+    n_a = _steps(end_a, part_end)
+    if b"".join([enc.a_bytes[k] for k in a.tolist()]) != b"".join(raw):
+        raise ValueError("the first tokenizer does not give back the bytes of its text")
+    if not good.all():
+        a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+        n_a, n_b, size = (np.where(good, x, 0) for x in (n_a, n_b, size))
+        end_a, part_end = np.cumsum(enc.a_size[a]), np.cumsum(size)
+    end_b = np.cumsum(enc.b_size[b])
+    both = np.sort(np.concatenate((end_a, end_b)), kind="stable")  # two sorted runs
+    again = both[1:] == both[:-1]
+    ends = both[np.concatenate(([True], ~again))] if len(both) else both  # the bytes between two ends lie in one A and one B token: one link
+    cuts = both[1:][again]
+    pairs = a[np.searchsorted(end_a, ends)] << B_BITS | b[np.searchsorted(end_b, ends)]
+    n_links, n_groups = _steps(ends, part_end), _steps(cuts, part_end)
+    # groups as text: the tokens in the order of (group, side), each with the mark behind it
+    group_a, group_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
+    last_a, last_b = (np.concatenate((g[1:] != g[:-1], [True])) if len(g) else np.zeros(0, bool) for g in (group_a, group_b))
+    order = np.argsort(np.concatenate((2 * group_a, 2 * group_b + 1)), kind="stable")
+    at = np.concatenate((2 * a + last_a, 2 * len(enc.a_text) + 2 * b + last_b))[order]
+    named = [enc.marked[k] for k in at.tolist()]
+    stops = np.cumsum(n_a + n_b).tolist()
+    groups = ["".join(named[i:j])[:-1].encode() for i, j in zip([0, *stops], stops)]
     return Aligned(good, n_a, n_b, n_groups, n_links, pairs, groups)
 
 
