@@ -58,82 +58,117 @@ def unpack(raw: bytes | np.ndarray, like: Params) -> Params:
     return out
 
 
+class Cell:
+    """The recurrent parameters laid out for stepping: gates (z, r) and candidate apart, and the gates'
+    factor of one half (a logistic function is a tanh of half its argument) and biases folded in."""
+
+    def __init__(self, p: Params):
+        g = 2 * HIDDEN
+        self.x_gates, self.x_new = 0.5 * (p["X"][:, :g] + p["u"][:g]), np.ascontiguousarray(p["X"][:, g:])
+        self.u_gates, self.u_new, self.b_new = 0.5 * p["U"][:, :g], np.ascontiguousarray(p["U"][:, g:]), p["u"][g:]
+
+    def step(self, sym: np.ndarray, h: np.ndarray):
+        """One GRU step: new state, and what the backward pass needs."""
+        zr = h @ self.u_gates
+        zr += self.x_gates.take(sym, axis=0)
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
+        m = h @ self.u_new
+        m += self.b_new
+        n = r * m
+        n += self.x_new.take(sym, axis=0)
+        np.tanh(n, out=n)
+        new = h - n
+        new *= z
+        new += n
+        return new, (z, r, n, m)
+
+
 def step(p: Params, sym: np.ndarray, h: np.ndarray):
-    """One GRU step: new state, and what the backward pass needs."""
-    a = p["X"][sym]
-    m = h @ p["U"] + p["u"]
-    zr = 0.5 + 0.5 * np.tanh(0.5 * (a[:, :2 * HIDDEN] + m[:, :2 * HIDDEN]))
-    z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = np.tanh(a[:, 2 * HIDDEN:] + r * m[:, 2 * HIDDEN:])
-    return n + z * (h - n), (z, r, n, m[:, 2 * HIDDEN:])
+    return Cell(p).step(sym, h)
 
 
 def class_of(sym: np.ndarray) -> np.ndarray:
     return np.where(sym < FREQUENT, sym // GROUP_SIZE, sym - FREQUENT + GROUPS)
 
 
-def _softmax_loss(x: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
-    """Loss sum of the targets under the logits ``x`` (overwritten), and its gradient."""
-    at = (np.arange(len(x)), target)
+#: Rows that go through a softmax at a time: their logits stay in the cache.
+ROWS = 512
+
+
+def _by_group(cls: np.ndarray):
+    """(group, rows) of the rows of frequent words, at most ROWS at a time."""
+    order = np.argsort(cls.astype(np.int8), kind="stable")
+    bounds = np.searchsorted(cls[order], np.arange(GROUPS + 1))
+    for g in range(GROUPS):
+        for lo in range(int(bounds[g]), int(bounds[g + 1]), ROWS):
+            yield g, order[lo:min(lo + ROWS, int(bounds[g + 1]))]
+
+
+def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities of the targets under the logits ``x`` (which become the exponentials), and their sums."""
     x -= x.max(axis=1, keepdims=True)
-    own = x[at].sum()
+    own = x[np.arange(len(x)), target]
     np.exp(x, out=x)
-    total = x.sum(axis=1, keepdims=True)
-    x /= total
-    x[at] -= 1
-    return np.log(total).sum() - own, x
+    total = x @ np.ones(x.shape[1], x.dtype)
+    return own - np.log(total), total
+
+
+def _softmax_loss(x: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
+    """Loss sum of the targets under the logits ``x`` (overwritten), and its gradient."""
+    lp, total = _softmax(x, target)
+    x *= (1 / total)[:, None]
+    x[np.arange(len(x)), target] -= 1
+    return -lp.sum(dtype=np.float64), x
 
 
 def log_probs(p: Params, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log probability of each target symbol from each state."""
     cls = class_of(target)
-    logits = h @ p["C"] + p["c"]
-    top = logits.max(axis=1)
-    rows = np.arange(len(target))
-    out = logits[rows, cls] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
-    frequent = np.flatnonzero(target < FREQUENT)
-    order = frequent[np.argsort(cls[frequent], kind="stable")]
-    bounds = np.searchsorted(cls[order], np.arange(GROUPS + 1))
-    for g in range(GROUPS):
-        idx = order[bounds[g]:bounds[g + 1]]
-        if len(idx):
-            inner = h[idx] @ p["W"][g] + p["w"][g]
-            top = inner.max(axis=1)
-            out[idx] += (inner[np.arange(len(idx)), target[idx] % GROUP_SIZE] - top
-                         - np.log(np.exp(inner - top[:, None]).sum(axis=1)))
+    out = np.empty(len(target), h.dtype)
+    for lo in range(0, len(target), ROWS):
+        at = slice(lo, lo + ROWS)
+        x = h[at] @ p["C"]
+        x += p["c"]
+        out[at] = _softmax(x, cls[at])[0]
+    for g, idx in _by_group(cls):
+        x = h.take(idx, axis=0) @ p["W"][g]
+        x += p["w"][g]
+        out[idx] += _softmax(x, target[idx] % GROUP_SIZE)[0]
     return out
 
 
-def score_all(p: Params, texts: list[np.ndarray], batch: int = 512) -> np.ndarray:
+def score_all(p: Params, texts: list[np.ndarray], batch: int = 512, rows: int = 1 << 14) -> np.ndarray:
     """Log probability of each complete symbol sequence (its end token included).
     Sequences of similar length go side by side; each one's state is carried
-    from window to window up to its end, whatever its length."""
+    on up to its end, whatever its length. ``rows`` states at a time go through the output layer."""
     out = np.zeros(len(texts))
+    cell = Cell(p)
     order = np.argsort([-len(t) for t in texts], kind="stable")
     for lo in range(0, len(order), batch):
         group = order[lo:lo + batch]
         lens = np.array([len(texts[i]) for i in group])
-        h = np.zeros((len(group), HIDDEN), np.float32)
+        flat, at = np.concatenate([texts[i] for i in group]).astype(np.int64), np.cumsum(lens) - lens
+        live = np.searchsorted(-lens, -np.arange(lens[0]))  # sequences longer than t
+        h = np.zeros((len(group), HIDDEN), p["U"].dtype)
         last = np.full(len(group), START, dtype=np.int64)
         total = np.zeros(len(group))
-        for t0 in range(0, int(lens[0]), STEPS):
-            live = int((lens > t0).sum())
-            window = np.full((live, STEPS), START, dtype=np.int64)
-            for row in range(live):
-                part = texts[group[row]][t0:t0 + STEPS]
-                window[row, :len(part)] = part
-            h, last = h[:live], last[:live]
-            states, targets, owners = [], [], []
-            for t in range(min(STEPS, int(lens[0]) - t0)):
-                k = int((lens > t0 + t).sum())
-                h, last = h[:k], last[:k]
-                h, _ = step(p, last, h)
-                last = window[:k, t]
-                states.append(h)
-                targets.append(last)
-                owners.append(np.arange(k))
-            lp = log_probs(p, np.concatenate(states), np.concatenate(targets))
-            total += np.bincount(np.concatenate(owners), weights=lp, minlength=len(total))
+        states, targets, held = [], [], 0
+        for t, k in enumerate(live.tolist()):
+            h, _ = cell.step(last[:k], h[:k])
+            last = flat[at[:k] + t]
+            states.append(h)
+            targets.append(last)
+            held += k
+            if held >= rows or t + 1 == len(live):
+                lp = log_probs(p, np.concatenate(states), np.concatenate(targets))
+                first = 0
+                for x in targets:
+                    total[:len(x)] += lp[first:first + len(x)]
+                    first += len(x)
+                states, targets, held = [], [], 0
         out[group] = total
     return out
 
@@ -142,45 +177,74 @@ def gradients(p: Params, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray)
     """Loss sum, gradients and last state over one window; inputs and targets are
     (steps, streams), the state before a START input is reset to zero."""
     states, kept, before = [], [], []
+    cell = Cell(p)
     for x in inputs:
-        h = np.where((x == START)[:, None], np.float32(0), h)
+        fresh = x == START
+        if fresh.any():
+            h = np.where(fresh[:, None], h.dtype.type(0), h)
         before.append(h)
-        h, k = step(p, x, h)
+        h, k = cell.step(x, h)
         states.append(h)
         kept.append(k)
     flat, y = np.concatenate(states), targets.ravel()
     cls = class_of(y)
     grads = {k: np.zeros_like(v) for k, v in p.items()}
-    loss, d = _softmax_loss(flat @ p["C"] + p["c"], cls)
-    grads["C"], grads["c"] = flat.T @ d, d.sum(axis=0)
-    dh = d @ p["C"].T
-    order = np.argsort(cls, kind="stable")
-    bounds = np.searchsorted(cls[order], np.arange(GROUPS + 1))
-    for g in range(GROUPS):
-        idx = order[bounds[g]:bounds[g + 1]]
-        if len(idx):
-            part = flat[idx]
-            more, d = _softmax_loss(part @ p["W"][g] + p["w"][g], y[idx] % GROUP_SIZE)
-            loss += more
-            grads["W"][g], grads["w"][g] = part.T @ d, d.sum(axis=0)
-            dh[idx] += d @ p["W"][g].T
+    loss, dh = 0.0, np.empty_like(flat)
+    c_back = np.ascontiguousarray(p["C"].T)
+    for lo in range(0, len(y), ROWS):
+        at = slice(lo, lo + ROWS)
+        x = flat[at] @ p["C"]
+        x += p["c"]
+        more, d = _softmax_loss(x, cls[at])
+        loss += more
+        grads["C"] += flat[at].T @ d
+        grads["c"] += d.sum(axis=0)
+        dh[at] = d @ c_back
+    for g, idx in _by_group(cls):
+        part = flat.take(idx, axis=0)
+        x = part @ p["W"][g]
+        x += p["w"][g]
+        more, d = _softmax_loss(x, y[idx] % GROUP_SIZE)
+        loss += more
+        grads["W"][g] += part.T @ d
+        grads["w"][g] += d.sum(axis=0)
+        dh[idx] += d @ p["W"][g].T
     dh = dh.reshape(len(inputs), -1, HIDDEN)
     carry = np.zeros_like(h)
-    da = np.empty((len(inputs), inputs.shape[1], 3 * HIDDEN), np.float32)
+    da = np.empty((len(inputs), inputs.shape[1], 3 * HIDDEN), h.dtype)
+    back = np.ascontiguousarray(p["U"].T)
     for t in range(len(inputs) - 1, -1, -1):
         (z, r, n, mn), prev = kept[t], before[t]
         g = dh[t] + carry
-        dn = g * (1 - z) * (1 - n * n)
-        dm = np.concatenate([g * (prev - n) * z * (1 - z), dn * mn * r * (1 - r), dn * r], axis=1)
+        dn = n * n
+        np.subtract(1, dn, out=dn)
+        dn *= g
+        keep = 1 - z
+        dn *= keep
+        dm = np.empty((len(g), 3 * HIDDEN), h.dtype)
+        dz, dr, dc = dm[:, :HIDDEN], dm[:, HIDDEN:2 * HIDDEN], dm[:, 2 * HIDDEN:]
+        np.subtract(prev, n, out=dz)
+        dz *= g
+        keep *= z
+        dz *= keep
+        np.multiply(dn, r, out=dc)
+        np.subtract(1, r, out=dr)
+        dr *= dc
+        dr *= mn
         da[t] = dm
         da[t, :, 2 * HIDDEN:] = dn
         grads["U"] += prev.T @ dm
         grads["u"] += dm.sum(axis=0)
-        carry = dm @ p["U"].T + g * z
-        carry[inputs[t] == START] = 0
-    order = np.argsort(inputs.ravel(), kind="stable")
-    used, at = np.unique(inputs.ravel()[order], return_index=True)
-    grads["X"][used] = np.add.reduceat(da.reshape(-1, 3 * HIDDEN)[order], at, axis=0)
+        carry = dm @ back
+        g *= z
+        carry += g
+        fresh = inputs[t] == START
+        if fresh.any():
+            carry[fresh] = 0
+    syms = inputs.ravel().astype(np.int16)
+    order = np.argsort(syms, kind="stable")
+    used, at = np.unique(syms[order], return_index=True)
+    grads["X"][used] = np.add.reduceat(da.reshape(-1, 3 * HIDDEN).take(order, axis=0), at, axis=0)
     return loss, grads, h
 
 
@@ -220,7 +284,7 @@ def train(p: Params, texts: list[np.ndarray], windows: int, width: int = 64, rat
     return _adam(p, ((*streams.window(), i == 0) for i in range(windows)), windows, rate)
 
 
-def train_whole(p: Params, texts: list[np.ndarray], width: int = 128, rate: float = 1e-3) -> Params:
+def train_whole(p: Params, texts: list[np.ndarray], width: int = 512, rate: float = 3e-3) -> Params:
     """Adam updates over every symbol of ``texts`` exactly once. The texts lie end to end in
     ``width`` equal streams, the rest in fewer; a text that goes over the end of a stream
     goes on in the next one from an empty state."""
