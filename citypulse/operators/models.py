@@ -170,7 +170,7 @@ def train_boosted_trees(train: DataFrame, target: str, levels: dict | None = Non
     return _fit("gbt", train, target, levels or category_levels(train), **kw)
 
 
-def train_classifier(feats: DataFrame, target: str, models=("logreg", "gbt"), test_size: float = 0.2,
+def train_classifier(feats: DataFrame, target: str, models=("logreg", "rf", "gbt"), test_size: float = 0.2,
                      sample: int | None = 250_000, params: dict | None = None, key: str = "row_id"):
     """Stratified split of all rows -> fit each model -> metrics over the whole test side.
 
