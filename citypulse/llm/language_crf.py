@@ -237,9 +237,11 @@ def fitted(docs: DataFrame, seed: int = 29) -> Crf | None:
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, FIT_TEXTS / r["count"]))])
-    draw = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
+    # by id and text: rows that share an id are drawn one by one; equal rows are drawn together and read once
+    drawn = F.xxhash64("id", "text", F.lit(seed))
+    draw = F.pmod(drawn, F.lit(1 << 20)) / float(1 << 20)
     texts = []
-    for r in rows.where(draw < share[F.col("lang")]).select("lang", "text", "id").orderBy("lang", "id").toLocalIterator():
+    for r in rows.where(draw < share[F.col("lang")]).select("lang", "text", "id", drawn.alias("h")).distinct().orderBy("lang", "h", "id", "text").toLocalIterator():
         words = letter_words(r["text"])
         a = zlib.crc32(str(r["id"]).encode()) % max(1, len(words) - FIT_WORDS + 1)
         texts.append((r["lang"], words[a:a + FIT_WORDS]))

@@ -52,3 +52,14 @@ def test_switched_text_and_edge_rows(spark):
     assert by[None]["lang_pred"] == "de" and by[104]["lang_pred"] == "en" and by[105]["lang_pred"] in ("de", "en")
     assert language_crf.identify(df.where("lang is null and doc_id = 100")).first()["lang_pred"] == "und"
     assert language_crf.identify(df.limit(0)).collect() == []
+
+
+def test_rows_of_one_id_and_equal_rows(spark):
+    """All texts under one id still teach their languages; the order and split of the rows change nothing."""
+    docs = table(spark, SF001, "documents").where("lang IN ('en', 'fr')").selectExpr("7L AS doc_id", "text", "lang", "doc_id AS own")
+    docs = docs.union(docs.where("own < 20")).union(docs.where("own < 20"))
+    got = [language_crf.identify(d).select("own", "lang", "lang_pred", "score").collect() for d in (docs.coalesce(1), docs.repartition(5, "own"))]
+    right = [r["lang"] == r["lang_pred"] for r in got[0]]
+    assert sum(right) > 0.9 * len(right)
+    known = {r["own"]: (r["lang_pred"], r["score"]) for r in got[0]}
+    assert all(known[r["own"]][0] == r["lang_pred"] and abs(known[r["own"]][1] - r["score"]) < 1e-4 for r in got[1])
