@@ -52,6 +52,7 @@ NOISE_STARTS = ("advert", "sponsor", "cookie", "newsletter", "sidebar", "breadcr
 STATES = frozenset("has with without no open closed enabled disabled layout page".split())
 #: A site's header is left out; a header inside the content holds its headline.
 HEADER_WORDS = frozenset(["header"])
+HEADLINES = frozenset(["h1", "h2"])
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -69,8 +70,11 @@ PROSE_TAGS = frozenset("p b i em strong u br h1 h2 h3 h4 h5 h6 blockquote pre co
 
 
 def _noisy(name: str, attrs: str, in_content: bool) -> bool:
-    if name in EXCLUDED or name == "header" and not in_content:
-        return True
+    return name in EXCLUDED or name == "header" and not in_content or _noisy_name(name, attrs, in_content)
+
+
+def _noisy_name(name: str, attrs: str, in_content: bool) -> bool:
+    """Whether attributes alone tell that an element is noise."""
     if name in ("html", "body", "main") or not attrs:
         return False
     for key, value in ATTRIBUTE.findall(attrs):
@@ -91,14 +95,18 @@ def _noisy(name: str, attrs: str, in_content: bool) -> bool:
     return False
 
 
-def tokens(page: str) -> list[tuple[str, str, int]]:
+def tokens(page: str, trusted: int = -1, sizes: Counter | None = None) -> list[tuple[str, str, int]]:
     """(kind, text, words): kind ``tag:<name>`` (text "/" for an end tag, "+" inside marked
-    content, else empty), a word kind, or ``skipped`` for words that are never content. A run of text of one kind is one entry."""
+    content, else empty), a word kind, or ``skipped`` for words that are never content. A run of text of one kind is one entry.
+
+    ``sizes`` gets, by offset, the number of words from the first headline on of each element that only its
+    names make noise and that lies in no other noise; the names of the one at ``trusted`` are not heeded."""
     out: list[tuple[str, str, int]] = []
     marked = MARKED.search(page) is not None
     stack: list[tuple[str, bool]] = []  # open elements and whether they are noise
     noise = content = link = 0
     begun = False  # a content element has begun
+    outer = -1  # the offset of the outermost element of noise, if its names make it one
     at, n = 0, len(page)
     while at < n:
         m = TOKEN.match(page, at)
@@ -112,6 +120,8 @@ def tokens(page: str) -> list[tuple[str, str, int]]:
             words = len(text.split())
             if noise:
                 kind = "skipped"
+                if sizes is not None and outer in sizes:
+                    sizes[outer] += words
             else:
                 kind = ("link:" if link else "word:") + ("inside" if content else "outside" if marked else "page")
             out.append((kind, text, words))
@@ -139,7 +149,11 @@ def tokens(page: str) -> list[tuple[str, str, int]]:
             stack, noise = [(x, False) for x, _ in stack], 0  # the content never lies in noise: that was left open
         if stack and stack[-1][0] == name and name in SELF_CLOSING:
             noise -= stack.pop()[1]
-        bad = _noisy(name, attrs, content > 0)
+        bad = m.start() != trusted and _noisy(name, attrs, content > 0)
+        if bad and not noise:
+            outer = m.start() if name not in EXCLUDED and name != "header" else -1
+        if noise and name in HEADLINES and sizes is not None and outer >= 0:
+            sizes[outer] += 0
         if name == "a":
             link = 1
         if name not in VOID and not attrs.endswith("/") and (name in BLOCK or bad):
@@ -195,7 +209,16 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str | None, weight: dict[str, float]) -> str:
-    toks = tokens(page or "")
+    """The text of the best run. If names of elements leave a page without text, the one with a
+    headline and the most words is content after all (as in class="content ad-free")."""
+    sizes: Counter = Counter()
+    text = _run_text(tokens(page or "", sizes=sizes), weight)
+    if not text and any(sizes.values()):
+        text = _run_text(tokens(page or "", max(sizes, key=lambda k: (sizes[k], -k))), weight)
+    return text
+
+
+def _run_text(toks: list[tuple[str, str, int]], weight: dict[str, float]) -> str:
     lo, hi = best_run([(LIGHT if text else weight.get(kind, LIGHT if kind[4:] in PROSE_TAGS else HEAVY))
                        if kind.startswith("tag:") else weight[kind] * words for kind, text, words in toks])
     blocks, parts = [], []

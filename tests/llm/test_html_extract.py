@@ -65,3 +65,15 @@ def test_smoke_pages_give_their_articles(spark):
         blocks = re.split(r"</?(?:p|h1|br|ul|li|div)\b[^>]*>", inner)
         want = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", b)).split()) for b in blocks]
         assert got[p["page_id"]]["text"] == "\n".join(b for b in want if b), p["page_id"]
+
+
+def test_noise_names_never_empty_a_page():
+    """An element around the whole article keeps its text whatever its names; noise inside and beside it still goes."""
+    article = "<h1>Head line</h1><p>Many words of the first block here.</p><p>Many words of the second block.</p>"
+    side = "<div class='sidebar'><a href='x'>one</a> <a href='y'>two</a></div><form><p>sign up</p></form>"
+    for name in ("content ad-free", "market-share", "search-history", "notice", "related-work"):
+        page = f"<html><body>{side}<div class='{name}'>{article}<div class='share-bar'>share me</div></div>{side}</body></html>"
+        got = html_extract.main_text(page, html_extract.DEFAULTS)
+        assert got == "Head line\nMany words of the first block here.\nMany words of the second block.", name
+    assert html_extract.main_text("<div class='ad'></div>", html_extract.DEFAULTS) == ""
+    assert html_extract.main_text("<nav>menu words</nav>", html_extract.DEFAULTS) == ""
