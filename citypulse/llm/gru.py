@@ -107,36 +107,49 @@ def _by_group(cls: np.ndarray):
             yield g, order[lo:min(lo + ROWS, int(bounds[g + 1]))]
 
 
-def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log probabilities of the targets under the logits ``x`` (which become the exponentials), and their sums."""
-    x -= x.max(axis=1, keepdims=True)
-    own = x[np.arange(len(x)), target]
-    np.exp(x, out=x)
-    total = x @ np.ones(x.shape[1], x.dtype)
-    return own - np.log(total), total
+class Output:
+    """The output layer: weights with the biases as a last row, for states with a last column of ones.
 
+    States lie within -1 and 1, so the weights bound the logits; only where a bound is too wide for
+    exponentials in single precision, rows are shifted by their largest logit."""
 
-def _softmax_loss(x: np.ndarray, target: np.ndarray) -> tuple[float, np.ndarray]:
-    """Loss sum of the targets under the logits ``x`` (overwritten), and its gradient."""
-    lp, total = _softmax(x, target)
-    x *= (1 / total)[:, None]
-    x[np.arange(len(x)), target] -= 1
-    return -lp.sum(dtype=np.float64), x
+    def __init__(self, p: Params):
+        self.top = np.concatenate((p["C"], p["c"][None]))
+        self.groups = np.concatenate((p["W"], p["w"][:, None]), axis=1)
+        self.shift = [self._wide(x) for x in (self.top, *self.groups)]
+
+    @staticmethod
+    def _wide(x: np.ndarray) -> bool:
+        reach = np.abs(x[:-1]).sum(axis=0)
+        return bool((x[-1] + reach).max() > 60 or (x[-1] - reach).max() < -60)
+
+    def exponentials(self, h: np.ndarray, target: np.ndarray, group: int = -1):
+        """exp of the logits, their sums and the targets' logits, less the shift."""
+        x = h @ (self.top if group < 0 else self.groups[group])
+        if self.shift[group + 1]:
+            x -= x.max(axis=1, keepdims=True)
+        own = x[np.arange(len(x)), target]
+        np.exp(x, out=x)
+        return x, x @ np.ones(x.shape[1], x.dtype), own
+
+
+def with_ones(h: np.ndarray) -> np.ndarray:
+    out = np.ones((len(h), HIDDEN + 1), h.dtype)
+    out[:, :HIDDEN] = h
+    return out
 
 
 def log_probs(p: Params, h: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log probability of each target symbol from each state."""
-    cls = class_of(target)
+    cls, layer, h = class_of(target), Output(p), with_ones(h)
     out = np.empty(len(target), h.dtype)
     for lo in range(0, len(target), ROWS):
         at = slice(lo, lo + ROWS)
-        x = h[at] @ p["C"]
-        x += p["c"]
-        out[at] = _softmax(x, cls[at])[0]
+        _, total, own = layer.exponentials(h[at], cls[at])
+        out[at] = own - np.log(total)
     for g, idx in _by_group(cls):
-        x = h.take(idx, axis=0) @ p["W"][g]
-        x += p["w"][g]
-        out[idx] += _softmax(x, target[idx] % GROUP_SIZE)[0]
+        _, total, own = layer.exponentials(h.take(idx, axis=0), target[idx] % GROUP_SIZE, g)
+        out[idx] += own - np.log(total)
     return out
 
 
@@ -189,26 +202,31 @@ def gradients(p: Params, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray)
     flat, y = np.concatenate(states), targets.ravel()
     cls = class_of(y)
     grads = {k: np.zeros_like(v) for k, v in p.items()}
+    layer, ones = Output(p), with_ones(flat)
     loss, dh = 0.0, np.empty_like(flat)
-    c_back = np.ascontiguousarray(p["C"].T)
+    back_top, back_groups = np.ascontiguousarray(p["C"].T), np.ascontiguousarray(p["W"].transpose(0, 2, 1))
+    d_top, d_groups = np.zeros_like(layer.top), np.zeros_like(layer.groups)
+
+    def errors(part, target, group=-1):
+        """Loss sum and the gradient by the logits."""
+        x, total, own = layer.exponentials(part, target, group)
+        x *= (1 / total)[:, None]
+        x[np.arange(len(x)), target] -= 1
+        return (np.log(total) - own).sum(dtype=np.float64), x
+
     for lo in range(0, len(y), ROWS):
         at = slice(lo, lo + ROWS)
-        x = flat[at] @ p["C"]
-        x += p["c"]
-        more, d = _softmax_loss(x, cls[at])
+        more, d = errors(ones[at], cls[at])
         loss += more
-        grads["C"] += flat[at].T @ d
-        grads["c"] += d.sum(axis=0)
-        dh[at] = d @ c_back
+        d_top += ones[at].T @ d
+        dh[at] = d @ back_top
     for g, idx in _by_group(cls):
-        part = flat.take(idx, axis=0)
-        x = part @ p["W"][g]
-        x += p["w"][g]
-        more, d = _softmax_loss(x, y[idx] % GROUP_SIZE)
+        part = ones.take(idx, axis=0)
+        more, d = errors(part, y[idx] % GROUP_SIZE, g)
         loss += more
-        grads["W"][g] += part.T @ d
-        grads["w"][g] += d.sum(axis=0)
-        dh[idx] += d @ p["W"][g].T
+        d_groups[g] += part.T @ d
+        dh[idx] += d @ back_groups[g]
+    grads["C"], grads["c"], grads["W"], grads["w"] = d_top[:-1], d_top[-1], d_groups[:, :-1], d_groups[:, -1]
     dh = dh.reshape(len(inputs), -1, HIDDEN)
     carry = np.zeros_like(h)
     da = np.empty((len(inputs), inputs.shape[1], 3 * HIDDEN), h.dtype)
