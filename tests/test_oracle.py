@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_a_callable():
-    assert len(QUERIES) == 97
+    assert len(QUERIES) == 99
     assert set(ORACLES) <= set(QUERIES)
 
 
