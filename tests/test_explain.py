@@ -144,3 +144,23 @@ def test_scoring_after_an_observation(spark, table, fitted):
     late = models.train_logreg(table, "y", max_iter=5)
     for model in [*fitted.values(), late]:
         assert model.transform(table).agg(F.avg("prob")).first()[0] > 0
+
+
+def test_linear_variants_equal_scoring_every_variant(spark, table, fitted, monkeypatch):
+    """Many ranges of scores, ties, a missing number and keys that come twice: the same AUC of each variant as through the model."""
+    odd = table.select("dr_no", "y", *COLUMNS).where("dr_no < 900").withColumn("lat", F.when(F.col("dr_no") % 50 > 0, F.col("lat")))
+    odd = models.stored(odd.unionByName(odd.where("dr_no % 7 = 0")).withColumn("hour", F.floor(F.col("hour") / 6).cast("double")), "odd")
+    monkeypatch.setattr(explain.evaluate, "RANGE_SCORES", 50)
+    asked = (fitted["logreg"], odd, "y", "dr_no", COLUMNS, 2)
+    got, want = ({(r["var_col"], r["rep"]): r["roc_auc"] for r in how(*asked).collect()} for how in (explain.linear_variants, explain.model_variants))
+    assert len(got) == 2 * len(COLUMNS) + 1 and got.keys() == want.keys()
+    assert got[("area_name", 0)] != got[("area_name", 1)]
+    for k, v in want.items():
+        # rows of equal keys may be numbered in either order
+        assert got[k] == pytest.approx(v, abs=1e-9 if k[0] == "" else 2e-2), k
+
+
+def test_linear_variants_without_equal_keys_are_exact(spark, table, fitted):
+    asked = (fitted["logreg"], table.where("dr_no < 700").select("dr_no", "y", *COLUMNS), "y", "dr_no", COLUMNS, 2)
+    got, want = ({(r["var_col"], r["rep"]): r["roc_auc"] for r in how(*asked).collect()} for how in (explain.linear_variants, explain.model_variants))
+    assert got == pytest.approx(want, abs=1e-9)
