@@ -75,3 +75,13 @@ def test_whole_test_side_is_scored(spark, planted):
     m = metrics.first()
     assert m.tp + m.fp + m.tn + m.fn == test.count() == 800
     assert m.support_1 + m.support_0 == 800 and 0 < m.precision_1 <= 1
+
+
+def test_training_partitions_are_bounded_by_rows(spark):
+    """Partitions that are too large are split, not only small ones merged."""
+    frame, n, cached = models.sized_for_training(spark.range(0, 40_000, 1, 6).toDF("x"), rows_per_partition=1000)
+    try:
+        sizes = frame.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count(F.lit(1))).first()
+        assert n == 40_000 == frame.count() and sizes[0] <= 2000 and sizes[1] == 40
+    finally:
+        cached.unpersist()
