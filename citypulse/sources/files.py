@@ -126,8 +126,14 @@ def scan_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 
 def write_parquet_artifacts(df: DataFrame, path: str, partition_by: list[str] | None = None,
                             sort_within: list[str] | None = None, mode: str = "overwrite") -> str:
-    """Write an artifact table. Ordering is applied per partition only (no global sort)."""
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    """Write an artifact table. Ordering is applied per partition only (no global sort).
+
+    Rows to be ordered are dealt to tasks of bounded size first (a rebalance: large partitions are
+    split), so that no task sorts a whole input split. They are ordered by the folders' columns
+    first, which is the order that the writer asks for: with another one it would sort again."""
+    out = df
+    if sort_within:
+        out = df.hint("rebalance", *(partition_by or sort_within)).sortWithinPartitions(*(partition_by or ()), *sort_within)
     writer = out.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

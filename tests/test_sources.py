@@ -63,3 +63,19 @@ def test_half_written_cache_is_not_used(spark, tmp_path, monkeypatch):
     assert files._manifest(spark, cache)["complete"] is False
     assert files.read_through_parquet(spark, str(csv), cache).count() == 2
     assert files._manifest(spark, cache)["complete"] is True
+
+
+def test_written_artifact_is_dealt_in_bounded_tasks_and_ordered(spark, tmp_path):
+    import pyarrow.parquet as pq
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "64k")
+    try:
+        df = spark.range(0, 60_000, 1, 2).selectExpr("id", "xxhash64(id) AS at", "CAST(pmod(xxhash64(id), 2) AS INT) AS year")
+        files.write_parquet_artifacts(df, str(tmp_path / "a"), partition_by=["year"], sort_within=["at", "id"])
+    finally:
+        spark.conf.unset(size)
+    parts = sorted((tmp_path / "a").glob("year=*/*.parquet"))
+    rows = [pq.ParquetFile(p).read().to_pylist() for p in parts]
+    assert sorted(r["id"] for part in rows for r in part) == list(range(60_000))
+    assert all(part == sorted(part, key=lambda r: (r["at"], r["id"])) for part in rows)
+    assert max(map(len, rows)) < 20_000
