@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from citypulse import contract as C
 from citypulse.operators import cleaning
 from citypulse.plans import common
 from citypulse.plans.catalog import register, rounded
@@ -47,7 +48,7 @@ def q_parse_timestamps(spark, sf):
     "SELECT dr_no, time_occurred, CAST(greatest(0, least(23, floor(coalesce(time_occurred, 0) / 100))) "
     "AS INTEGER) AS hour FROM renamed", R))
 def q_hour_from_hhmm(spark, sf):
-    return cleaning.hour_from_hhmm(common.renamed(spark, sf)).select("dr_no", "time_occurred", "hour")
+    return cleaning.hour_from_hhmm(common.renamed(spark, sf, "dr_no", "time_occurred")).select("dr_no", "time_occurred", "hour")
 
 
 @register("calendar_fields", _sql(
@@ -56,7 +57,7 @@ def q_hour_from_hhmm(spark, sf):
     "CAST(weekofyear(date_occurred) AS INTEGER) AS week, "
     "coalesce(isodow(date_occurred) IN (6, 7), false) AS is_weekend FROM renamed", R))
 def q_calendar_fields(spark, sf):
-    return cleaning.calendar_fields(common.renamed(spark, sf)).select(
+    return cleaning.calendar_fields(common.renamed(spark, sf, "dr_no", "date_occurred")).select(
         "dr_no", "dow", "month", "year", "week", "is_weekend")
 
 
@@ -64,12 +65,12 @@ def q_calendar_fields(spark, sf):
     "SELECT dr_no, CAST(floor((epoch(date_reported) - epoch(date_occurred)) / 86400) AS BIGINT) "
     "AS report_lag_days FROM renamed", R))
 def q_report_lag_days(spark, sf):
-    return cleaning.report_lag_days(common.renamed(spark, sf)).select("dr_no", "report_lag_days")
+    return cleaning.report_lag_days(common.renamed(spark, sf, "dr_no", "date_reported", "date_occurred")).select("dr_no", "report_lag_days")
 
 
 @register("part_of_day", _sql("SELECT dr_no, hour, part_of_day FROM clean"))
 def q_part_of_day(spark, sf):
-    df = cleaning.hour_from_hhmm(common.renamed(spark, sf))
+    df = cleaning.hour_from_hhmm(common.renamed(spark, sf, "dr_no", "time_occurred"))
     return cleaning.part_of_day(df).select("dr_no", "hour", "part_of_day")
 
 
@@ -77,47 +78,47 @@ def q_part_of_day(spark, sf):
     "SELECT dr_no, CAST(CASE WHEN victim_age > 0 AND victim_age <= 110 THEN victim_age END AS INTEGER) "
     "AS victim_age FROM renamed", R))
 def q_clean_victim_age(spark, sf):
-    return cleaning.clean_victim_age(common.renamed(spark, sf)).select("dr_no", "victim_age")
+    return cleaning.clean_victim_age(common.renamed(spark, sf, "dr_no", "victim_age")).select("dr_no", "victim_age")
 
 
 @register("normalize_victim_sex", _sql(
     "SELECT dr_no, CASE WHEN upper(victim_sex) IN ('M', 'F') THEN upper(victim_sex) "
     "ELSE 'Unknown' END AS victim_sex FROM renamed", R))
 def q_normalize_victim_sex(spark, sf):
-    return cleaning.normalize_victim_sex(common.renamed(spark, sf)).select("dr_no", "victim_sex")
+    return cleaning.normalize_victim_sex(common.renamed(spark, sf, "dr_no", "victim_sex")).select("dr_no", "victim_sex")
 
 
 @register("default_victim_descent", _sql(
     "SELECT dr_no, coalesce(victim_descent, 'X') AS victim_descent FROM renamed", R))
 def q_default_victim_descent(spark, sf):
-    return cleaning.default_victim_descent(common.renamed(spark, sf)).select("dr_no", "victim_descent")
+    return cleaning.default_victim_descent(common.renamed(spark, sf, "dr_no", "victim_descent")).select("dr_no", "victim_descent")
 
 
 @register("mask_out_of_bbox", _sql(
     "SELECT dr_no, has_coords, round(lat, 6) AS lat, round(lon, 6) AS lon FROM clean"))
 def q_mask_out_of_bbox(spark, sf):
-    return rounded(cleaning.mask_out_of_bbox(common.renamed(spark, sf))
+    return rounded(cleaning.mask_out_of_bbox(common.renamed(spark, sf, "dr_no", "lat", "lon"))
                    .select("dr_no", "has_coords", "lat", "lon"))
 
 
 @register("derive_is_violent", _sql("SELECT dr_no, crime_code, is_violent FROM clean"))
 def q_derive_is_violent(spark, sf):
-    return cleaning.derive_is_violent(common.renamed(spark, sf)).select("dr_no", "crime_code", "is_violent")
+    return cleaning.derive_is_violent(common.renamed(spark, sf, "dr_no", "crime_code")).select("dr_no", "crime_code", "is_violent")
 
 
 @register("derive_is_arrest", _sql("SELECT dr_no, status_code, is_arrest FROM clean"))
 def q_derive_is_arrest(spark, sf):
-    return cleaning.derive_is_arrest(common.renamed(spark, sf)).select("dr_no", "status_code", "is_arrest")
+    return cleaning.derive_is_arrest(common.renamed(spark, sf, "dr_no", "status_code")).select("dr_no", "status_code", "is_arrest")
 
 
 @register("map_status_group", _sql("SELECT dr_no, status_code, status_group FROM clean"))
 def q_map_status_group(spark, sf):
-    return cleaning.map_status_group(common.renamed(spark, sf)).select("dr_no", "status_code", "status_group")
+    return cleaning.map_status_group(common.renamed(spark, sf, "dr_no", "status_code")).select("dr_no", "status_code", "status_group")
 
 
 @register("flag_weapon_used", _sql("SELECT dr_no, weapon_used FROM clean"))
 def q_flag_weapon_used(spark, sf):
-    return cleaning.flag_weapon_used(common.renamed(spark, sf)).select("dr_no", "weapon_used")
+    return cleaning.flag_weapon_used(common.renamed(spark, sf, "dr_no", "weapon_code")).select("dr_no", "weapon_used")
 
 
 @register("drop_undated", _sql(
@@ -161,14 +162,14 @@ features AS (
     "round(dow_sin, 6) AS dow_sin, round(dow_cos, 6) AS dow_cos, round(month_sin, 6) AS month_sin, "
     "round(month_cos, 6) AS month_cos) FROM features", BASE + [FEATURES_SQL]))
 def q_build_incident_features(spark, sf):
-    return rounded(cleaning.build_incident_features(common.clean(spark, sf)))
+    return rounded(cleaning.build_incident_features(common.clean(spark, sf, *C.INCIDENT_FEATURE_COLUMNS)))
 
 
 @register("impute_median", _sql(
     "SELECT dr_no, round(victim_age, 6) AS victim_age, round(lat, 6) AS lat, round(lon, 6) AS lon "
     "FROM features", BASE + [FEATURES_SQL]))
 def q_impute_median(spark, sf):
-    df = common.clean(spark, sf).select("dr_no", "victim_age", "lat", "lon")
+    df = common.clean(spark, sf, "dr_no", "victim_age", "lat", "lon")
     return rounded(cleaning.impute_median(df))
 
 
@@ -176,7 +177,7 @@ def q_impute_median(spark, sf):
     "SELECT dr_no, CAST(least(365, greatest(0, coalesce(report_lag_days, 0))) AS BIGINT) "
     "AS report_lag_days FROM clean"))
 def q_clip_report_lag(spark, sf):
-    return cleaning.clip_report_lag(common.clean(spark, sf)).select("dr_no", "report_lag_days")
+    return cleaning.clip_report_lag(common.clean(spark, sf, "dr_no", "report_lag_days")).select("dr_no", "report_lag_days")
 
 
 @register("cyclic_encode", _sql(
@@ -184,7 +185,7 @@ def q_clip_report_lag(spark, sf):
     "round(dow_sin, 6) AS dow_sin, round(dow_cos, 6) AS dow_cos, round(month_sin, 6) AS month_sin, "
     "round(month_cos, 6) AS month_cos FROM features", BASE + [FEATURES_SQL]))
 def q_cyclic_encode(spark, sf):
-    df = cleaning.cyclic_encode(common.clean(spark, sf))
+    df = cleaning.cyclic_encode(common.clean(spark, sf, "dr_no", "hour", "dow", "month"))
     return rounded(df.select("dr_no", "hour_sin", "hour_cos", "dow_sin", "dow_cos",
                              "month_sin", "month_cos"))
 
@@ -199,7 +200,7 @@ FILTER_ARGS = dict(start="1996-01-01", end="1998-12-31",
     "WHERE date_occurred >= TIMESTAMP '1996-01-01' AND date_occurred < TIMESTAMP '1999-01-01' "
     "AND area_name IN ('NATION_3', 'NATION_7', 'NATION_12') AND is_violent = 1"))
 def q_filter_incidents(spark, sf):
-    return cleaning.filter_incidents(common.clean(spark, sf), **FILTER_ARGS).select(
+    return cleaning.filter_incidents(common.clean(spark, sf, "dr_no", "date_occurred", "area_name", "is_violent"), **FILTER_ARGS).select(
         "dr_no", "date_occurred", "area_name", "is_violent")
 
 
@@ -207,7 +208,7 @@ def q_filter_incidents(spark, sf):
     "SELECT dr_no, round(lat, 6) AS lat, round(lon, 6) AS lon FROM clean "
     "WHERE lat IS NOT NULL AND lon IS NOT NULL"))
 def q_drop_missing_coords(spark, sf):
-    return rounded(cleaning.drop_missing_coords(common.clean(spark, sf)).select("dr_no", "lat", "lon"))
+    return rounded(cleaning.drop_missing_coords(common.clean(spark, sf, "dr_no", "lat", "lon")).select("dr_no", "lat", "lon"))
 
 
 @register("filter_domain_values", _sql(
@@ -215,4 +216,4 @@ def q_drop_missing_coords(spark, sf):
     "(SELECT DISTINCT area_name FROM clean WHERE area_name IS NOT NULL) a CROSS JOIN "
     "(SELECT min(date_occurred) AS date_min, max(date_occurred) AS date_max FROM clean) r"))
 def q_filter_domain_values(spark, sf):
-    return cleaning.filter_domain_values(common.clean(spark, sf))
+    return cleaning.filter_domain_values(common.clean(spark, sf, "area_name", "date_occurred"))

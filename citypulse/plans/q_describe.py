@@ -32,7 +32,7 @@ def _sql(body, extra=()):
     "round(avg(is_violent), 6) AS violent_share, round(avg(is_arrest), 6) AS arrest_share, "
     "round(avg(CAST(lat IS NULL AS INTEGER)), 6) AS missing_lat_pct FROM clean"))
 def q_dataset_overview(spark, sf):
-    return rounded(describe.dataset_overview(common.clean(spark, sf)))
+    return rounded(describe.dataset_overview(common.clean_fresh(spark, sf)))
 
 
 def _missing_sql():
@@ -44,7 +44,7 @@ def _missing_sql():
 
 @register("missing_table", _missing_sql())
 def q_missing_table(spark, sf):
-    out = describe.missing_table(common.clean(spark, sf))
+    out = describe.missing_table(common.clean_fresh(spark, sf))
     return rounded(out.withColumnRenamed("column", "column_name"))
 
 
@@ -60,7 +60,7 @@ def q_hour_dow_matrix(spark, sf):
     "SELECT crime_desc, count(*) AS n FROM clean WHERE crime_desc IS NOT NULL GROUP BY crime_desc "
     "ORDER BY n DESC, crime_desc LIMIT 15"))
 def q_top_k_categories(spark, sf):
-    return describe.top_k_categories(common.clean(spark, sf), "crime_desc", 15)
+    return describe.top_k_categories(common.clean(spark, sf, "crime_desc"), "crime_desc", 15)
 
 
 @register("top_k_within_area", _sql(
@@ -68,7 +68,7 @@ def q_top_k_categories(spark, sf):
     "ORDER BY n DESC, crime_desc) AS INTEGER) AS rank FROM (SELECT area_name, crime_desc, count(*) AS n "
     "FROM clean WHERE area_name IS NOT NULL AND crime_desc IS NOT NULL GROUP BY 1, 2)) WHERE rank <= 12"))
 def q_top_k_within_area(spark, sf):
-    return describe.top_k_within_area(common.clean(spark, sf), k=12)
+    return describe.top_k_within_area(common.clean(spark, sf, "area_name", "crime_desc"), k=12)
 
 
 @register("victim_age_histogram", _sql("""
@@ -84,13 +84,13 @@ hv AS (SELECT CAST(victim_age AS DOUBLE) AS x FROM clean
        WHERE victim_age IS NOT NULL AND victim_age BETWEEN 5 AND 90),
 hr AS (SELECT min(x) AS mn, max(x) AS mx FROM hv)"""]))
 def q_victim_age_histogram(spark, sf):
-    return rounded(describe.victim_age_histogram(common.clean(spark, sf)))
+    return rounded(describe.victim_age_histogram(common.clean(spark, sf, "victim_age")))
 
 
 @register("victim_sex_counts", _sql(
     "SELECT victim_sex, count(*) AS n FROM clean WHERE victim_sex IS NOT NULL GROUP BY victim_sex"))
 def q_victim_sex_counts(spark, sf):
-    return describe.victim_sex_counts(common.clean(spark, sf))
+    return describe.victim_sex_counts(common.clean(spark, sf, "victim_sex"))
 
 
 @register("arrest_rate_by_crime", _sql(
@@ -99,14 +99,14 @@ def q_victim_sex_counts(spark, sf):
     "WHERE crime_desc IS NOT NULL GROUP BY crime_desc) WHERE n > 400 "
     "ORDER BY arrests / n DESC, crime_desc LIMIT 15"))
 def q_arrest_rate_by_crime(spark, sf):
-    return rounded(describe.arrest_rate_by_crime(common.clean(spark, sf), min_n=400))
+    return rounded(describe.arrest_rate_by_crime(common.clean(spark, sf, "dr_no", "crime_desc", "is_arrest"), min_n=400))
 
 
 @register("share_by_area", _sql(
     "SELECT area_name, round(avg(is_violent), 6) AS violent_share, round(avg(is_arrest), 6) AS arrest_rate "
     "FROM clean WHERE area_name IS NOT NULL GROUP BY area_name"))
 def q_share_by_area(spark, sf):
-    return rounded(describe.share_by_area(common.clean(spark, sf)))
+    return rounded(describe.share_by_area(common.clean(spark, sf, "area_name", "is_violent", "is_arrest")))
 
 
 @register("kpi_summary", _sql(
@@ -117,7 +117,7 @@ def q_share_by_area(spark, sf):
     "AND area_name IN ('NATION_3', 'NATION_7', 'NATION_12')"))
 def q_kpi_summary(spark, sf):
     args = dict(FILTER_ARGS, violent_only=False)
-    return rounded(describe.kpi_summary(cleaning.filter_incidents(common.clean(spark, sf), **args)))
+    return rounded(describe.kpi_summary(cleaning.filter_incidents(common.clean(spark, sf, "date_occurred", "area_name", "crime_desc", "is_violent", "is_arrest"), **args)))
 
 
 @register("counts_by_period", _sql(
@@ -125,7 +125,7 @@ def q_kpi_summary(spark, sf):
     "GROUP BY month UNION ALL SELECT 'hour' AS period, hour AS value, count(*) AS n FROM clean "
     "WHERE hour IS NOT NULL GROUP BY hour"))
 def q_counts_by_period(spark, sf):
-    return describe.counts_by_period(common.clean(spark, sf))
+    return describe.counts_by_period(common.clean(spark, sf, "month", "hour"))
 
 
 @register("area_profile", _sql(
@@ -146,4 +146,4 @@ FROM (
   FROM clean WHERE lat IS NOT NULL AND lon IS NOT NULL GROUP BY 1, 2
 )"""))
 def q_grid_hotspots(spark, sf):
-    return rounded(describe.grid_hotspots(common.clean(spark, sf)))
+    return rounded(describe.grid_hotspots(common.clean(spark, sf, "dr_no", "lat", "lon", "is_violent")))

@@ -28,7 +28,7 @@ def q_daily_area_panel(spark, sf):
     [THIN, daily_ctes("clean_thin", "dthin")]))
 def q_densify_panel(spark, sf):
     from citypulse.sources import fixtures
-    sparse = panels.daily_area_panel(fixtures.thin_tail(common.clean(spark, sf)), dense=False)
+    sparse = panels.daily_area_panel(fixtures.thin_tail(common.panel_input(spark, sf)), dense=False)
     bounds = sparse.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     return panels.densify_panel(sparse, bounds, fill_cols=("crimes", "violent", "arrests"))
 
@@ -53,7 +53,7 @@ rs_spine AS (
     "SELECT s.date, CAST(coalesce(a.n, 0) AS BIGINT) AS n FROM rs_spine s LEFT JOIN rs_agg a USING (date)",
     [RESAMPLE_W]))
 def q_resample_counts(spark, sf):
-    return panels.resample_counts(common.clean(spark, sf), freq="W")
+    return panels.resample_counts(common.clean(spark, sf, "dr_no", "date_occurred"), freq="W")
 
 
 RESAMPLE_ME = """
@@ -79,7 +79,7 @@ two_spine AS (
     "CAST(CASE WHEN s.date BETWEEN b.flo AND b.fhi THEN coalesce(a.n_flag, 0) END AS BIGINT) AS violent "
     "FROM two_spine s LEFT JOIN two_agg a USING (date) CROSS JOIN two_bounds b", [RESAMPLE_ME]))
 def q_resample_two_series(spark, sf):
-    return panels.resample_two_series(common.clean(spark, sf), freq="ME")
+    return panels.resample_two_series(common.clean(spark, sf, "dr_no", "date_occurred", "is_violent"), freq="ME")
 
 
 @register("citywide_daily_totals", _sql(

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from citypulse import contract as C
 from citypulse.plans import common
 from citypulse.plans.catalog import register, rounded
 from citypulse.plans.oracle_sql import BASE, RAW, with_ctes
@@ -66,7 +67,7 @@ def q_scan_parquet(spark, sf):
     *BASE, body="SELECT year, count(*) AS rows FROM clean GROUP BY year"))
 def q_write_parquet_artifacts(spark, sf):
     path = scratch_path(spark, "clean")
-    files.write_parquet_artifacts(common.clean(spark, sf), path, partition_by=["year"],
+    files.write_parquet_artifacts(common.clean_fresh(spark, sf), path, partition_by=["year"],
                                   sort_within=["date_occurred", "dr_no"])
     back = files.scan_parquet(spark, path)
     return back.groupBy("year").agg(F.count(F.lit(1)).alias("rows"))
@@ -76,7 +77,7 @@ def q_write_parquet_artifacts(spark, sf):
     *BASE, body="SELECT count(*) AS rows, round(avg(report_lag_days), 6) AS mean_lag, "
     "round(avg(is_violent), 6) AS violent_share FROM clean"))
 def q_metrics_json(spark, sf):
-    m = common.clean(spark, sf).agg(
+    m = common.clean(spark, sf, "report_lag_days", "is_violent").agg(
         F.count(F.lit(1)).alias("rows"), F.avg("report_lag_days").alias("mean_lag"),
         F.avg("is_violent").alias("violent_share"))
     path = scratch_path(spark, "metrics")
@@ -89,7 +90,7 @@ def q_model_store(spark, sf):
     """Fit a classifier, save it, load it by its path alone, score the feature rows with
     both: every row, with the difference of the two scores (0)."""
     from citypulse.operators import cleaning, models
-    feats = cleaning.build_incident_features(common.clean(spark, sf), keep=("dr_no",))
+    feats = cleaning.build_incident_features(common.clean(spark, sf, "dr_no", *C.INCIDENT_FEATURE_COLUMNS), keep=("dr_no",))
     fitted = models.train_logreg(feats, "is_violent", max_iter=20)
     path = scratch_path(spark, "model")
     files.save_model(fitted.model, path)

@@ -93,4 +93,4 @@ FROM (SELECT CAST(round_even(lat / 0.0025, 0) AS BIGINT) AS lat_key, CAST(round_
       FROM clean WHERE lat IS NOT NULL AND lon IS NOT NULL AND is_violent = 1 GROUP BY 1, 2)"""))
 def q_heat_points(spark, sf):
     """All violent incidents with coordinates, binned to weighted cells."""
-    return rounded(spatial.heat_points(common.clean(spark, sf), violent_only=True, cell_deg=0.0025))
+    return rounded(spatial.heat_points(common.clean(spark, sf, "dr_no", "lat", "lon", "is_violent"), violent_only=True, cell_deg=0.0025))

@@ -8,6 +8,7 @@ from citypulse.operators import describe, evaluate, features, risk, sampling
 from citypulse.plans import common
 from citypulse.plans.catalog import register, rounded
 from citypulse.plans.oracle_sql import BASE, DAILY, weekly_cte, with_ctes
+from citypulse.session import stored
 from citypulse.sources import fixtures
 
 
@@ -162,7 +163,7 @@ def q_quantile_tiers(spark, sf):
     "count(*) AS n FROM clean WHERE area_name IS NOT NULL AND crime_desc IS NOT NULL GROUP BY 1, 2)) "
     "WHERE rn = 1"))
 def q_first_per_group(spark, sf):
-    top = describe.top_k_within_area(common.clean(spark, sf), k=1)
+    top = describe.top_k_within_area(common.clean(spark, sf, "area_name", "crime_desc"), k=1)
     return top.select("area_name", F.col("crime_desc").alias("top_crime"), "n")
 
 
@@ -453,7 +454,7 @@ def q_union_history(spark, sf):
     "area_name, dr_no, date_occurred, row_number() OVER (PARTITION BY area_id, area_name ORDER BY "
     "date_occurred, dr_no) AS rn FROM clean) WHERE rn = 1"))
 def q_distinct_pairs(spark, sf):
-    c = common.clean(spark, sf).select("area_id", "area_name", "dr_no", "date_occurred")
+    c = common.clean(spark, sf, "area_id", "area_name", "dr_no", "date_occurred")
     out = sampling.distinct_pairs(c, ["area_id", "area_name"], first_by=["date_occurred", "dr_no"])
     return out.select("area_id", "area_name", F.col("dr_no").alias("first_dr_no"),
                       F.col("date_occurred").alias("first_date"))
@@ -469,16 +470,18 @@ def q_area_code_map(spark, sf):
 @register("exact_sample")
 def q_exact_sample(spark, sf):
     """Rows-only check: exactly 5000 incidents (fewer tables give all rows)."""
-    return sampling.exact_sample(common.clean(spark, sf), 5000).select("dr_no", "area_id", "is_violent")
+    return sampling.exact_sample(common.clean(spark, sf, "dr_no", "area_id", "is_violent"), 5000)
 
 
 @register("exact_sample_check", _sql(
     "SELECT least(5000, count(*)) AS n, least(5000, count(*)) AS n_members FROM clean"))
 def q_exact_sample_check(spark, sf):
     """The sample's size, and how many of its rows are members of the sampled table."""
-    c = common.clean(spark, sf).select("dr_no")
-    s = sampling.exact_sample(c, 5000)
-    members = s.join(c, "dr_no", "left_semi").agg(F.count(F.lit(1)).alias("n_members"))
+    c = common.clean(spark, sf, "dr_no")
+    s = stored(sampling.exact_sample(c, 5000), "sample")
+    # the table is cut down to the (at most 5000) sampled keys where it is read
+    met = c.join(F.broadcast(s.distinct()), "dr_no", "left_semi")
+    members = s.join(met, "dr_no", "left_semi").agg(F.count(F.lit(1)).alias("n_members"))
     return s.agg(F.count(F.lit(1)).alias("n")).crossJoin(F.broadcast(members))
 
 
@@ -487,6 +490,6 @@ def q_exact_sample_check(spark, sf):
     "SELECT is_violent, 'test' AS split, CAST(count(*) - round(count(*) * 0.8) AS BIGINT) AS n FROM clean GROUP BY is_violent"))
 def q_stratified_split(spark, sf):
     """Counts per (class, split) of an exact 80/20 split."""
-    c = common.clean(spark, sf).select("dr_no", "is_violent")
+    c = common.clean(spark, sf, "dr_no", "is_violent")
     s = sampling.stratified_split(c, "is_violent", 0.8)
     return s.groupBy("is_violent", "split").agg(F.count(F.lit(1)).alias("n"))

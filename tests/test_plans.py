@@ -25,3 +25,10 @@ def test_scan_parquet_pushes_filters_and_prunes(spark):
     plan = _plan(entry.queries()["scan_parquet"](spark, SMOKE))
     assert "PushedFilters: [IsNotNull(l_shipdate), IsNotNull(l_returnflag), GreaterThanOrEqual(l_shipdate" in plan
     assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int,l_returnflag:string,l_shipdate:timestamp_ntz>" in plan
+
+
+def test_shared_tables_hold_the_columns_that_a_query_reads(spark):
+    for name, columns in {"clean_victim_age": {"dr_no", "victim_age"}, "derive_is_arrest": {"dr_no", "status_code"}, "report_lag_days": {"dr_no", "date_reported", "date_occurred"},
+                          "exact_sample": {"dr_no", "area_id", "is_violent"}}.items():
+        stored = entry.queries()[name](spark, SMOKE).inputFiles()
+        assert stored and set(spark.read.parquet(*stored).columns) == columns, name
