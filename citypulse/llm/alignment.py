@@ -12,8 +12,9 @@ byte ranges overlap. For every id pair (a, b) the corpus is inverted:
    OR of all planes, the link count the sum of the planes' popcounts times 2^p.
 2. ``pair_counts``: blocks are disjoint, so a pair's bitmap over the corpus is
    their union and popcounts add up. A pair's rows are added in the tasks first.
-3. ``link_scores``: the corpus-wide counts join the postings, and each block
-   returns to every document the sum over its planes.
+3. ``link_scores``: the corpus-wide counts join the pairs of the blocks, without
+   their bitmaps, and meet the bitmaps in the block, which returns to every document
+   the sum over its planes. The bitmaps are shuffled once.
 
 Texts are cut at single spaces between other characters before they are encoded,
 and equal pieces are encoded once: the byte-level pattern always cuts there, and
@@ -333,20 +334,27 @@ def link_scores(post: DataFrame, counts: DataFrame) -> DataFrame:
     best = counts.groupBy("b").agg(F.max("n_links").alias("most"))
     marked = counts.join(best, "b").select("pair", F.col("n_links").alias("count"), (F.col("n_links") == F.col("most")).alias("best"))
 
-    def run(group: pa.Table) -> pa.Table:
+    def run(group: pa.Table, told: pa.Table) -> pa.Table:
         n_best, count_sum = np.zeros(1 << SLOT_BITS, np.int64), np.zeros(1 << SLOT_BITS, np.int64)
+        told = told.sort_by("pair")
+        named, count = told.column("pair").to_numpy(), told.column("count").to_numpy()
+        is_best = told.column("best").to_numpy()
         for part in group.to_batches(max_chunksize=1 << 14):
             bits = part.column("bitmap")
             lengths = np.diff(np.frombuffer(bits.buffers()[1], np.int32)[bits.offset:bits.offset + len(bits) + 1]).astype(np.int64)
             begin = np.frombuffer(bits.buffers()[1], np.int32)[bits.offset]
             row, doc, mult = unpacked(part.column("planes").to_numpy().astype(np.int64), lengths, np.frombuffer(bits.buffers()[2], np.uint8)[begin:])
-            np.add.at(count_sum, doc, mult * part.column("count").to_numpy()[row])
-            np.add.at(n_best, doc, mult * part.column("best").to_numpy(zero_copy_only=False)[row])
+            at = np.searchsorted(named, part.column("pair").to_numpy())
+            np.add.at(count_sum, doc, mult * count[at][row])
+            np.add.at(n_best, doc, mult * is_best[at][row])
         slots = np.flatnonzero(count_sum)
         return pa.table({"block": np.full(len(slots), group.column("block")[0].as_py()), "slot": slots, "n_best": n_best[slots], "count_sum": count_sum[slots]})
 
-    return (post.where("slot IS NULL").select("pair", "block", "planes", "bitmap").join(marked, "pair")
-            .groupBy("block").applyInArrow(run, "block long, slot long, n_best long, count_sum long"))
+    pairs = post.where("slot IS NULL")
+    named = pairs.select(F.col("pair").alias("of"), F.col("block").alias("at"))  # names of their own: both sides come from one table
+    told = named.join(marked, F.col("of") == F.col("pair")).select("at", F.col("of").alias("pair"), "count", "best")
+    return (pairs.select("block", "pair", "planes", "bitmap").groupBy("block").cogroup(told.groupBy("at"))
+            .applyInArrow(run, "block long, slot long, n_best long, count_sum long"))
 
 
 def align(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

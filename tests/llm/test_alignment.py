@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -126,3 +127,13 @@ def test_empty_table_and_query(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert alignment.align(df).count() == 0
     assert queries.QUERIES["op12_tokenizer_alignment"](spark, SMOKE).count() == spark.read.parquet(f"{SMOKE}/documents.parquet").count()
+
+
+def test_bitmaps_are_shuffled_once(spark):
+    """Only blocks gather bitmaps; the counts find them there."""
+    df = spark.createDataFrame([(k, f"word {k} again word") for k in range(40)], "doc_id long, text string")
+    post = alignment.postings(df)
+    scores = alignment.link_scores(post, alignment.pair_counts(post))
+    nodes = spark._jvm.PythonSQLUtils.explainString(scores._jdf.queryExecution(), "formatted").split("\n\n")
+    moved = [x for x in nodes if re.match(r"\(\d+\) (Broadcast)?Exchange", x.strip()) and "bitmap" in x]
+    assert len(moved) == 1 and scores.count() == 40
