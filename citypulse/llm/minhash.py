@@ -55,6 +55,8 @@ CHUNK = 1 << 20
 HELD_WORDS, BLOCK = 1 << 19, 1 << 10
 #: Pairs compared at a time.
 PAIRS = 1 << 16
+#: Bits (a power of two) of the filter that texts pass before they are shuffled.
+FILTER_BITS = 24
 
 _random = np.random.default_rng(SEED)
 FACTORS = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -126,7 +128,7 @@ def prefix_postings(sets: DataFrame) -> DataFrame:
     ``before``: the coordinates of the rarer ones it is posted under."""
     posted = sets.select("sid", F.posexplode("sig").alias("at", "value")).select(
         "sid", F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("coord"))
-    often = posted.groupBy("coord").agg(F.count("*").alias("often")).where("often > 1")
+    often = saved(posted.groupBy("coord").agg(F.count("*").alias("often")).where("often > 1"), "minhash-often")
     kept = (posted.join(often, "coord").groupBy("sid").agg(F.collect_list(F.struct("often", "coord")).alias("own"))
             .where(F.size("own") >= MATCHES))
     first = F.slice(F.sort_array("own"), F.lit(1), F.size("own") - (MATCHES - 1))
@@ -161,14 +163,15 @@ def rest_pairs(posted: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFr
 
     The class of a list's first set is its main class; ``other`` sets are outside it. Both are dealt
     in chunks of bounded size: every set meets every chunk of others, each other set every chunk of all."""
-    told = posted.join(classes, "sid", "left").join(sets.select("sid", "n", "sig"), "sid").withColumn("root", F.coalesce("root", "sid"))
+    told = posted.join(classes, "sid", "left").join(sets.select("sid", "n"), "sid").withColumn("root", F.coalesce("root", "sid"))
     told = saved(told, "minhash-told")
     size = F.sum(F.col("n") + COORDINATES)
     main = (told.groupBy("coord").agg(F.min(F.struct("sid", "root")).alias("hub"), F.count("*").alias("many"), size.alias("all"))
             .select("coord", F.col("hub.root").alias("main"), "many", "all").where("many > 1"))
     marked = told.select("coord", "sid", "root", "n").join(main, "coord").withColumn("other", F.col("root") != F.col("main"))
     mixed_lists = marked.where("other").groupBy("coord", "main", "all").agg(size.alias("others"))
-    rows = told.join(mixed_lists, "coord").withColumn("other", F.col("root") != F.col("main"))
+    rows = saved(told.join(mixed_lists, "coord").withColumn("other", F.col("root") != F.col("main")), "minhash-mixed")
+    rows = rows.join(sets.select("sid", "sig"), "sid")  # the signatures of sets in such lists alone
     n_all, n_other = F.ceil(F.col("all") / CHUNK), F.ceil(F.col("others") / CHUNK)
     spot = F.xxhash64("sid")
     kept = ["sid", "root", "other", "n", "sig", "before"]
@@ -238,9 +241,23 @@ def _agreeing(t: pa.Table):
                 weight = 0
 
 
+def maybe_among(rows: DataFrame, col: str, wanted: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The ``rows`` whose ``col`` may be in ``wanted`` (one column): all that are, and few others.
+
+    Each wanted value sets one of 2^bits bits. Their words (at most 2^bits / 64, whatever the
+    input) are broadcast, so that rows which nobody wants are left before they are shuffled."""
+    h = lambda c: F.xxhash64(F.lit(SEED), c).bitwiseAND((1 << bits) - 1)
+    bit = lambda c: F.expr(f"shiftleft(1L, cast({c} & 63 AS int))")
+    words = (wanted.select(h(F.col(wanted.columns[0])).alias("__h")).select(F.shiftright("__h", 6).alias("__word"), bit("__h").alias("__bit"))
+             .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
+    return (rows.withColumn("__h", h(F.col(col))).join(F.broadcast(words), F.shiftright("__h", 6) == F.col("__word"))
+            .where(F.col("__bits").bitwiseAND(bit("__h")) != 0).select(*rows.columns))
+
+
 def whole_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame, shingle: int) -> DataFrame:
     """(sid, found): the sets, as sorted bytes, of the ``wanted`` (sid, least, key), from the texts of their smallest ids."""
     docs = df.select(F.col(id_col).alias("least"), F.col(text_col).alias("text"))
+    docs = maybe_among(docs, "least", wanted.select(F.col("least").alias("id")))
     texts = docs.join(wanted.select(F.col("least").alias("id")).distinct(), F.col("least").eqNullSafe(F.col("id")), "left_semi")
 
     def run(batches):
@@ -329,7 +346,7 @@ def minhash_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     posted = saved(prefix_postings(sets), "minhash-posted")
 
     def whole(sids: DataFrame) -> DataFrame:
-        wanted = sids.distinct().join(sets.select("sid", "least", "key"), "sid")
+        wanted = saved(sids.distinct().join(sets.select("sid", "least", "key"), "sid"), "minhash-wanted")
         return saved(whole_sets(df, id_col, text_col, wanted, shingle), "minhash-whole")
 
     near = saved(enough_matches(hub_pairs(posted), sets), "minhash-hubs")

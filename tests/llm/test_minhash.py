@@ -108,3 +108,21 @@ def test_sets_of_hashes_have_the_size_of_the_sets_of_shingles():
     for text in ("a b a b a", "a", "", "b a", "x y z x y"):
         assert len(minhash.shingle_set(text, 2, hashes)) == len(plain_set(text))
     assert set(minhash.shingle_set("a b", 2, hashes)).isdisjoint(minhash.shingle_set("b a", 2, hashes))
+
+
+@pytest.mark.parametrize("bits", [24, 8])
+def test_unwanted_texts_are_left_before_the_shuffle(spark, bits):
+    """All wanted rows pass, null ids and repeated rows too, and few others; a full filter loses nothing."""
+    rows = spark.createDataFrame([(k, f"t{k}") for k in range(2000)] + [(5, "again"), (None, "n")], "least long, text string")
+    wanted = spark.createDataFrame([(k,) for k in range(0, 2000, 20)] + [(5,), (None,)], "id long")
+    found = {(r["least"], r["text"]) for r in minhash.maybe_among(rows, "least", wanted, bits).collect()}
+    assert found >= {(k, f"t{k}") for k in range(0, 2000, 20)} | {(5, "t5"), (5, "again"), (None, "n")}
+    assert len(found) < (110 if bits == 24 else 1500)
+
+
+def test_texts_of_sets_that_meet_nothing_are_not_shuffled(spark):
+    """Only texts that are wanted reach the exact join by id."""
+    df = spark.createDataFrame([(k, f"text {k}") for k in range(500)], "doc_id long, text string")
+    wanted = spark.createDataFrame([(1, 7, b"k")], "sid long, least long, key binary")
+    plan = minhash.whole_sets(df, "doc_id", "text", wanted, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__bits" in plan[plan.index("LeftSemi"):]
