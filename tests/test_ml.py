@@ -85,3 +85,15 @@ def test_training_partitions_are_bounded_by_rows(spark):
         assert n == 40_000 == frame.count() and sizes[0] <= 2000 and sizes[1] == 40
     finally:
         cached.unpersist()
+
+
+def test_rows_that_no_model_sees_are_not_written(spark, planted, monkeypatch):
+    """With a sample, the test rows and the sample are stored, and they are those of the exact split."""
+    written = {}
+    monkeypatch.setattr(models, "stored", lambda df, name: written.setdefault(name, df.localCheckpoint()))
+    _, _, test = models.train_classifier(planted, "y", ("logreg",), sample=500, key="dr_no", params={"logreg": {"max_iter": 5}})
+    assert {name: df.count() for name, df in written.items()} == {"train": 500, "test": 800, "scored": 800}
+    split = models.sampling.stratified_split(planted, "y", 0.8, "dr_no")
+    keys = lambda df: {r.dr_no for r in df.select("dr_no").collect()}
+    assert keys(test) == keys(split.where("split = 'test'"))
+    assert keys(written["train"]) == keys(models.sampling.exact_sample(split.where("split = 'train'"), 500, "dr_no"))
