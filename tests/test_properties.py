@@ -281,28 +281,29 @@ def test_row_numbers_are_dense_and_in_order(spark):
 
 
 @pytest.mark.parametrize("levels", [1, 4, 14])
-def test_first_k_by_hash_equals_brute_force_with_repeated_and_null_keys(spark, levels):
+def test_first_k_one_pass_equals_brute_force_with_repeated_and_null_keys(spark, levels):
     """Exactly k rows a group in (hash, key) order, also where the k-th row comes several times."""
     rows = [(None if i % 7 == 0 else i % 23, "a" if i % 3 else "b", i) for i in range(400)]
     df = spark.createDataFrame(rows, "dr_no bigint, y string, x bigint").repartition(6)
     hashed = {r.dr_no: r.h for r in df.select("dr_no", sampling.hash_key("dr_no").alias("h")).distinct().collect()}
     place = lambda k: (hashed[k], k is not None, k or 0)
     for share in (0.0, 0.31, 0.5, 1.0):
-        got = sampling.first_k_by_hash(df, lambda n: F.round(n * F.lit(share)), ("y",), "dr_no", levels=levels)
+        got = sampling.first_k_one_pass(df, lambda n: F.round(n * F.lit(share)), ("y",), "dr_no", levels=levels)
         assert sorted(got.columns) == sorted([*df.columns, "__selected"])
         out = got.collect()
-        assert sorted(r.x for r in out) == list(range(400))
+        sides = [{r.x for r in got.repartition(3).where(side).collect()} for side in ("__selected", "not __selected")]  # each reads the rows anew
+        assert sorted(r.x for r in out) == list(range(400)) == sorted(sides[0] | sides[1]) and not sides[0] & sides[1]
         for y in "ab":
             want = sorted((place(k) for k, g, _ in rows if g == y))
             k = int(share * len(want) + 0.5)
             assert sorted(place(r.dr_no) for r in out if r.y == y and r["__selected"]) == want[:k]
 
 
-def test_first_k_by_hash_reads_whole_rows_once(spark):
+def test_first_k_one_pass_reads_whole_rows_once(spark):
     """The columns that are not keys are read by one scan, without a shuffle, if keys do not repeat."""
     path = scratch_path(spark, "first-k")
     spark.range(0, 5000, 1, 5).select(F.col("id").alias("dr_no"), (F.col("id") % 3).alias("y"), (F.col("id") * 2).alias("wide")).write.parquet(path)
-    out = sampling.stratified_split(spark.read.parquet(path), "y", 0.8)
+    out = sampling.stratified_split(spark.read.parquet(path), "y", 0.8, first_k=sampling.first_k_one_pass)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("wide:bigint") == 1 and "hashpartitioning" not in plan
     assert sorted(r["count"] for r in out.where("split = 'train'").groupBy("y").count().collect()) == [1333, 1334, 1334]
