@@ -32,3 +32,11 @@ def test_daily_forecaster_may_run_all_rounds(spark, panel, monkeypatch):
     with pytest.raises(Asked) as asked:
         q_models.q_train_daily_forecaster(spark, "daily")
     assert asked.value.args[0][5:] == (1500, 60)
+
+
+def test_weekly_forecaster_may_run_all_rounds(spark, panel, monkeypatch):
+    monkeypatch.setattr(common, "weekly", lambda *_: panel.where(F.dayofweek("date") == 2))
+    instead(monkeypatch, boosting, "fit_boosted")
+    with pytest.raises(Asked) as asked:
+        q_models.q_train_weekly_forecaster(spark, "weekly")
+    assert asked.value.args[0][5:] == (1500, 60)
