@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from citypulse.operators import boosting
+from citypulse.operators import boosting, models
 from citypulse.plans import common, q_models
 
 
@@ -40,3 +40,22 @@ def test_weekly_forecaster_may_run_all_rounds(spark, panel, monkeypatch):
     with pytest.raises(Asked) as asked:
         q_models.q_train_weekly_forecaster(spark, "weekly")
     assert asked.value.args[0][5:] == (1500, 60)
+
+
+@pytest.fixture
+def no_tables(monkeypatch):
+    """The classifier queries read nothing: only what they ask of the fit is looked at."""
+    monkeypatch.setattr(common, "_artifact", lambda *_: None)
+    monkeypatch.setattr(q_models, "split_features", lambda *_: (None, None))
+    monkeypatch.setattr(models, "category_levels", lambda *_: {})
+    monkeypatch.setattr(q_models, "_FITTED", {})
+
+
+@pytest.mark.parametrize("query", [q_models.q_train_boosted_trees, q_models.q_feature_importances, q_models.q_attribution_summary])
+def test_boosted_trees_have_all_rounds(spark, no_tables, monkeypatch, query):
+    instead(monkeypatch, models, "_fit")
+    with pytest.raises(Asked) as asked:
+        query(spark, "gbt")
+    name, _, target, _ = asked.value.args[0]
+    boosted = models.classifier(name, target, **asked.value.args[1])
+    assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getMinInstancesPerNode()) == (400, 6, 80)
