@@ -51,6 +51,15 @@ def no_tables(monkeypatch):
     monkeypatch.setattr(q_models, "_FITTED", {})
 
 
+def test_random_forest_has_all_trees_at_full_depth(spark, no_tables, monkeypatch):
+    instead(monkeypatch, models, "_fit")
+    with pytest.raises(Asked) as asked:
+        q_models.q_train_random_forest(spark, "rf")
+    name, _, target, _ = asked.value.args[0]
+    forest = models.classifier(name, target, **asked.value.args[1])
+    assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getMinInstancesPerNode()) == (180, 18, 8)
+
+
 @pytest.mark.parametrize("query", [q_models.q_train_boosted_trees, q_models.q_feature_importances, q_models.q_attribution_summary])
 def test_boosted_trees_have_all_rounds(spark, no_tables, monkeypatch, query):
     instead(monkeypatch, models, "_fit")
