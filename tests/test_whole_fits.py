@@ -68,3 +68,10 @@ def test_boosted_trees_have_all_rounds(spark, no_tables, monkeypatch, query):
     name, _, target, _ = asked.value.args[0]
     boosted = models.classifier(name, target, **asked.value.args[1])
     assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getMinInstancesPerNode()) == (400, 6, 80)
+
+
+def test_classifiers_see_all_train_rows_and_all_rounds(spark, no_tables, monkeypatch):
+    instead(monkeypatch, models, "train_classifier")
+    with pytest.raises(Asked) as asked:
+        q_models.q_train_classifier(spark, "battery")
+    assert asked.value.args[1]["sample"] is None and not asked.value.args[1].get("params")
